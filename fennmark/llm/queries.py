@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fennmark.llm import chat, fingerprints, simhash
+from fennmark.llm import chat, fingerprints, packing, quality, simhash, toxicity
 from fennmark.llm.common import table
 
 
@@ -55,12 +55,33 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def _scored(scores: DataFrame, parts: int, held_out: int) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string")) % parts == held_out
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), quality.learnable(parts=3, held_out=1))
+    return _scored(quality.score_quality(docs, model), 3, 1)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), quality.learnable(parts=5, held_out=0))
+    return _scored(toxicity.score_toxicity(docs, model), 5, 0)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat_format": op1_chat_format, "op2_fingerprints": op2_fingerprints, "op10_simhash": op10_simhash}
+    return {"op1_chat_format": op1_chat_format, "op2_fingerprints": op2_fingerprints, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
