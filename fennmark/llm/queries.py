@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fennmark.llm import chat, fingerprints, packing, quality, simhash, toxicity
+from fennmark.llm import chat, fingerprints, html_extract, packing, quality, sharding, simhash, toxicity
 from fennmark.llm.common import table
 
 
@@ -60,7 +60,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(scores: DataFrame, parts: int, held_out: int) -> DataFrame:
-    held = F.crc32(F.col("doc_id").cast("string")) % parts == held_out
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == held_out, F.lit(False))
     return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -76,12 +76,22 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score_toxicity(docs, model), 5, 0)
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat_format": op1_chat_format, "op2_fingerprints": op2_fingerprints, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op10_simhash": op10_simhash}
+    return {"op1_chat_format": op1_chat_format, "op2_fingerprints": op2_fingerprints, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op8_html": op8_html, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
