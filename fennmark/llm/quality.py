@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from fennmark.llm.common import whole
 
-PER_CLASS, DICT_BYTES, BLOCK_BYTES, STEADY_BYTES, LEVEL = 1500, 64 << 10, 384, 128, 1
+PER_CLASS, DICT_BYTES, BLOCK_BYTES, STEADY_BYTES, LEVEL, LONGEST = 1500, 64 << 10, 384, 128, 1, 200_000
 
 
 class QualityModel:
@@ -129,13 +129,13 @@ def platt(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, ...]:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column | None, per_class: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, y): up to per_class labelled rows of each class, by least hash of the id; `learn` says of an id
-    whether its label may be learnt from."""
+    """(doc_id, text, y): up to per_class labelled rows of each class, by least hash of the id, without texts over
+    LONGEST characters; `learn` says of an id whether its label may be learnt from."""
     ids = labels.groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     ids = ids if learn is None else ids.filter(learn)
     chosen = [ids.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
-    return rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").dropDuplicates(["doc_id"])
+    return rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").filter(F.length("text") <= LONGEST).dropDuplicates(["doc_id"])
 
 
 def learnable(doc_id: str = "doc_id", parts: int = 3, held_out: int = 1) -> Column:

@@ -30,6 +30,8 @@ from fennmark.llm.quality import platt, sample_labelled
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 PREFIX, PER_CLASS, LEAST_DOCS, EPOCHS, BATCH, RATE = 5, 2000, 3, 8, 64, 0.01
 PAD = max(WIDTHS) - 1
+#: Words in work at once when scoring, and about as many in a training step.
+AT_ONCE, BATCH_WORDS = 50_000, 50_000
 #: Function words by which a text's language is guessed. Fixed values.
 FUNCTION_WORDS = {
     "en": "the of and to in a is that it for was on are as with his they at be this from have or by not but what all were when".split(),
@@ -46,7 +48,7 @@ class WordIds(dict):
     count. Forgets all when it has grown large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         bare = word.strip(EDGES)
         bucket = lambda s: 1 + zlib.crc32(s.encode()) % (BUCKETS - 1)
@@ -87,16 +89,17 @@ def language(ids: np.ndarray) -> int:
     return int(hits.argmax()) if hits.any() else len(LANGUAGES) - 1
 
 
-def _layout(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts one after another, each with PAD zeros behind it (an empty text has one more): ids, starts, which row may
-    begin a window."""
-    parts, open_at = [], []
-    for d in docs:
+def _layout(parts: list[np.ndarray], tails: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of texts one after another, each with PAD zeros behind it (an empty one has one more): ids, starts, which row
+    may begin a window. The last tails[k] words of part k begin none, as the next part of the text has them too."""
+    laid, open_at = [], []
+    for k, d in enumerate(parts):
         d = d if len(d) else np.zeros(1, np.int64)
-        parts += [d, np.zeros(PAD, np.int64)]
-        open_at += [np.ones(len(d), bool), np.zeros(PAD, bool)]
-    sizes = [max(1, len(d)) + PAD for d in docs]
-    return np.concatenate([*parts, np.zeros(PAD, np.int64)]), np.cumsum([0, *sizes[:-1]]), np.concatenate(open_at)
+        laid += [d, np.zeros(PAD, np.int64)]
+        tail = tails[k] if tails else 0
+        open_at += [np.ones(len(d) - tail, bool), np.zeros(PAD + tail, bool)]
+    sizes = [max(1, len(d)) + PAD for d in parts]
+    return np.concatenate([*laid, np.zeros(PAD, np.int64)]), np.cumsum([0, *sizes[:-1]]), np.concatenate(open_at)
 
 
 class ToxicityModel:
@@ -125,12 +128,35 @@ class ToxicityModel:
             self._folded = [[np.ascontiguousarray(self.table @ w[j]) for j in range(len(w))] for w in self.filters]
         return self._folded
 
+    def _best(self, docs: list[np.ndarray]) -> np.ndarray:
+        """Greatest response of each filter in each text; a few ten thousand words are in work at once, however long a text."""
+        best = np.full((len(docs), len(self.bias)), -np.inf)
+        parts, tails, of, held = [], [], [], 0
+
+        def work() -> None:
+            if parts:
+                ids, starts, may = _layout(parts, tails)
+                found, _ = self.pooled(starts, may, [[vectors(t, ids) for t in of_width] for of_width in self.folded()])
+                np.maximum.at(best, of, found)
+            parts.clear(), tails.clear(), of.clear()
+
+        for k, d in enumerate(docs):
+            for a in range(0, max(1, len(d)), AT_ONCE):
+                part = d[a : a + AT_ONCE + PAD]
+                parts.append(part)
+                tails.append(max(0, len(part) - AT_ONCE))
+                of.append(k)
+                held += len(part)
+                if held >= AT_ONCE:
+                    work()
+                    held = 0
+        work()
+        return best
+
     def logits(self, docs: list[np.ndarray]) -> np.ndarray:
         if self.table is None or not docs:
             return np.full(len(docs), self.base)
-        ids, starts, may = _layout(docs)
-        best, _ = self.pooled(starts, may, [[vectors(t, ids) for t in of_width] for of_width in self.folded()])
-        return np.maximum(best + self.bias, 0) @ self.out + self.base
+        return np.maximum(self._best(docs) + self.bias, 0) @ self.out + self.base
 
     def scores(self, texts: list[str]) -> np.ndarray:
         docs = [word_ids(t) for t in texts]
@@ -162,8 +188,8 @@ def train(docs: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int
     m, v, t = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params], 0
     for epoch in range(epochs):
         order = rng.permutation(len(docs))
-        for a in range(0, len(order), BATCH):
-            rows = order[a : a + BATCH]
+        words_before = np.cumsum([0, *(len(docs[k]) for k in order[:-1])])
+        for rows in np.split(order, np.flatnonzero(np.diff((words_before // BATCH_WORDS) * len(order) + np.arange(len(order)) // BATCH)) + 1):
             ids, starts, may = _layout([docs[k] for k in rows])
             words = vectors(table, ids)
             best, responses = model.pooled(starts, may, [[words @ w[j] for j in range(len(w))] for w in filters])
@@ -242,7 +268,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None
     return fit([r[1] for r in rows], [r[2] for r in rows])
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", at_once: int = 256) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", at_once: int = 64) -> DataFrame:
     """(doc_id, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
