@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fennmark.llm import chat, fingerprints, html_extract, packing, quality, sharding, simhash, toxicity
+from fennmark.llm import chat, decontamination, fingerprints, html_extract, linededup, packing, quality, sharding, simhash, toxicity
 from fennmark.llm.common import table
 
 
@@ -81,17 +81,27 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract_pages(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.length("text").cast("long").alias("n_chars_before"))
+    return linededup.drop_repeated_chunks(docs)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_chat_format": op1_chat_format, "op2_fingerprints": op2_fingerprints, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_sharding": op6_sharding, "op8_html": op8_html, "op10_simhash": op10_simhash}
+    found = (op1_chat_format, op2_fingerprints, op3_packing, op4_quality, op5_toxicity, op6_sharding, op7_decontamination, op8_html, op9_line_dedup, op10_simhash)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
