@@ -15,7 +15,7 @@ def keyword_route(docs: DataFrame, keywords: DataFrame, doc_id: str = "doc_id",
     counted = docs.select(doc_id, tokens(F.col(text)).alias("w")).crossJoin(F.broadcast(topics))  # one row
     hits = F.transform("topics", lambda t: F.struct((-F.size(F.filter("w", lambda w: F.array_contains(t["terms"], w)))).alias("minus"), t["topic"].alias("topic")))
     best = counted.select(doc_id, F.array_min(hits).alias("best"))
-    none = F.col("best").isNull() | (F.col("best.minus") == 0)
+    none = F.coalesce("best.minus", F.lit(0)) == 0
     return best.select(doc_id, F.when(none, "unrouted").otherwise(F.col("best.topic")).alias("route"), F.coalesce(-F.col("best.minus"), F.lit(0)).cast("bigint").alias("hits"))
 
 

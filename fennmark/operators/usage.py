@@ -13,7 +13,7 @@ def daily_activity(events: DataFrame) -> DataFrame:
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """(user_id, session_start, last_event, events): runs of events less than the gap apart."""
+    """(user_id, session_start, last_event, events): runs of events that are the gap apart at most."""
     by = events.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("events"), F.max("ts").alias("last_event"))
     return by.select("user_id", F.col("w.start").alias("session_start"), "last_event", "events")
 

@@ -285,7 +285,7 @@ def u1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "u2_sessions",
-    """with m as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minutes then 0 else 1 end opens from events window w as (partition by user_id order by ts)),
+    """with m as (select user_id, ts, case when ts - lag(ts) over w <= interval 30 minutes then 0 else 1 end opens from events window w as (partition by user_id order by ts)),
 s as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) k from m) select user_id, min(ts) session_start, max(ts) last_event, count(*) events from s group by user_id, k""",
 )
 def u2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,6 +60,6 @@ def parse_summary(lines: DataFrame) -> DataFrame:
 
 def read_tree(spark: SparkSession, root: str) -> DataFrame:
     """(path, category, topic, value): every file below root as one row; category and topic are its two innermost folders."""
-    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(root)
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
     parts = F.split("_metadata.file_path", "/")
     return files.select(F.col("_metadata.file_path").alias("path"), F.element_at(parts, -3).alias("category"), F.element_at(parts, -2).alias("topic"), "value")
