@@ -91,8 +91,8 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.length("text").cast("long").alias("n_chars_before"))
-    return linededup.drop_repeated_chunks(docs)
+    kept = linededup.drop_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
