@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,3 +31,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the folder named by spark.checkpoint.dir, which every executor can read again: for rows that
+    are used more than once and would be costly to make again."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tables-")
+    path = f"{shared}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
