@@ -5,6 +5,11 @@ at most B - S bits meet for certain, by the pigeonhole principle. Vertices that
 streamed through a task, which measures distances on the first lane and emits only a minimum spanning forest of the links
 among them, never all pairs.
 
+With one lane, 8 blocks and 6 of them shared, distinct fingerprints of a group differ in 16 bits at most, so no group has
+more than 65,536 whatever the input. With more lanes a group has no such bound: one of more than `most_rows` is dealt by
+hash over parts of that size, each of which also gets the group's pivots (its smallest vertices), so copies of one text
+stay linked over all parts; vertices near no pivot may also meet in each other block that they share.
+
 Defined results: a null text is empty; a text without words has fingerprint zero; fewer words than a shingle make one
 shingle of the whole sequence; rows without an id take the component of their fingerprint (link_fingerprints) or stay
 (drop_near_duplicates); equal ids are one document; an empty table gives an empty table.
@@ -21,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fennmark.llm.common import cut_lineage, whole
+from fennmark.llm.common import cut_lineage, whole, written
 from fennmark.llm.components import connected_components
 from fennmark.llm.fingerprints import likeness, shingle_hashes
 
@@ -113,7 +118,7 @@ def spanning_links(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int) -> DataFrame:
+def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int, most_rows: int | None = None) -> DataFrame:
     """Edges (u, v) that join all vertices connected at `most` differing bits of the first lane within some block key, for
     vertices(vertex, f0, ...) with distinct `vertex`. Copies have been put into one vertex before, so that a group that
     shares S of B blocks of a single lane has at most 2 ** (64 * (B - S) / B) rows."""
@@ -122,35 +127,49 @@ def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int)
         rest: np.ndarray | None = None  # rows of the last group, which may go on in the next batch
 
         def emit(rows: np.ndarray) -> pa.RecordBatch:
-            same = (rows[1:, :2] == rows[:-1, :2]).all(axis=1)
+            same = (rows[1:, :3] == rows[:-1, :3]).all(axis=1)
             starts = np.flatnonzero(np.concatenate(([True], ~same)))
             sizes = np.diff(np.append(starts, len(rows)))
             u, v = [], []
             for a, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 group = rows[a : a + n]
-                for i, j in spanning_links(group[:, 3].view(np.uint64), most):
-                    u.append(group[i, 2])
-                    v.append(group[j, 2])
+                for i, j in spanning_links(group[:, 4].copy().view(np.uint64), most):
+                    u.append(group[i, 3])
+                    v.append(group[j, 3])
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
         for batch in batches:
-            rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]) if batch.num_rows else np.empty((0, 4), np.int64)
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]) if batch.num_rows else np.empty((0, 5), np.int64)
             rows = rows if rest is None else np.concatenate([rest, rows])
             if not len(rows):
                 continue
-            last = int(np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(axis=1))[-1]) + 1 if (rows[:, :2] != rows[-1, :2]).any() else 0
+            other = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
+            last = int(other[-1]) + 1 if len(other) else 0
             rest = rows[last:]
             if last:
                 yield emit(rows[:last])
         if rest is not None and len(rest):
             yield emit(rest)
 
-    keyed = block_keys(vertices, lanes, blocks, shared)
-    together = keyed.repartition("combo", "key").sortWithinPartitions("combo", "key", "vertex")
-    return together.mapInArrow(run, "u long, v long").distinct()
+    keyed = block_keys(vertices, lanes, blocks, shared).withColumn("part", F.lit(0))
+    if most_rows:
+        keyed = dealt(keyed, most_rows)
+    together = keyed.repartition("combo", "key", "part").sortWithinPartitions("combo", "key", "part", "vertex")
+    return together.select("combo", "key", "part", "vertex", "f0").mapInArrow(run, "u long, v long").distinct()
+
+
+def dealt(keyed: DataFrame, most_rows: int, pivots: int = 16) -> DataFrame:
+    """keyed with the groups of more than most_rows rows dealt over parts, each with the group's pivots."""
+    keyed = written(keyed)
+    large = written(keyed.groupBy("combo", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most_rows))
+    parts = F.ceil(F.col("n") / most_rows).cast("int")
+    placed = keyed.drop("part").join(large, ["combo", "key"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("vertex", "combo"), parts), F.lit(0)).cast("int"))
+    least = placed.filter("n is not null").groupBy("combo", "key", "n", F.pmod(F.xxhash64("vertex"), F.lit(pivots)).alias("lot")).agg(F.min(F.struct("vertex", "f0")).alias("pivot"))
+    everywhere = least.select("combo", "key", "pivot.vertex", "pivot.f0", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return placed.select("combo", "key", "vertex", "f0", "part").unionByName(everywhere)
 
 
-def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, most: int = 2, blocks: int = 5, shared: int = 3) -> DataFrame:
+def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, most: int = 2, blocks: int = 8, shared: int = 6) -> DataFrame:
     """(doc_id, fingerprint, component_id): documents linked, over any number of steps, by fingerprints that differ in at
     most `most` bits; component_id is the smallest doc_id of them. Needs blocks - shared >= most."""
     if blocks - shared < most:
@@ -160,11 +179,12 @@ def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     found = connected_components(links(classes.select(F.col("f0").alias("vertex"), "f0"), 1, most, blocks, shared))
     rooted = classes.join(found.withColumnRenamed("node", "f0"), "f0").select("f0", "root", "least")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("f0", "component")
-    named = classes.join(named, "f0", "left").select("f0", F.coalesce("component", "least").alias("component_id"))
+    # Written, so that the last join has plain shuffles on both sides: Spark splits those where a fingerprint is very common.
+    named = written(classes.join(named, "f0", "left").select("f0", F.coalesce("component", "least").alias("component_id")))
     return prints.join(named, "f0").select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lanes: int = 16, most: int = 14, blocks: int = 32, shared: int = 1, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lanes: int = 16, most: int = 14, blocks: int = 32, shared: int = 1, words: int = 5, similarity: float = 0.8, most_rows: int = 20_000) -> DataFrame:
     """(doc_id, keeper): every document that is a copy of another, and the document of its group that stays.
 
     Equal texts are copies. Other candidates come from 1024-bit fingerprints of the set of single words, in 32 blocks of 32
@@ -178,7 +198,7 @@ def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     copies = rows.select("doc_id", digest.alias("digest")).join(firsts.filter("n > 1"), "digest").select("doc_id", "vertex")
     prints = fingerprints(rows, words=1, lanes=lanes, distinct=True).withColumnRenamed("doc_id", "vertex")
     prints = cut_lineage(prints.join(firsts.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]))
-    candidates = cut_lineage(links(prints, lanes, most, blocks, shared))
+    candidates = cut_lineage(links(prints, lanes, most, blocks, shared, most_rows))
     ends = candidates.select(F.col("u").alias("doc_id")).union(candidates.select(F.col("v").alias("doc_id"))).distinct()
     sets = rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.array_distinct(shingle_hashes(F.col("text"), words)).alias("s"))
     pairs = candidates.join(sets.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("doc_id").alias("v"), F.col("s").alias("b")), "v")
