@@ -3,7 +3,7 @@
 A fingerprint has 64 bits for each of its `lanes`. With B blocks of which S must agree, any two fingerprints that differ in
 at most B - S bits meet for certain, by the pigeonhole principle. Vertices that share a block key are sorted together and
 streamed through a task, which measures distances on the first lane and emits only a minimum spanning forest of the links
-among them, never all pairs.
+among them and, where links are verified later, those to a few hubs: never all pairs.
 
 With one lane, 8 blocks and 6 of them shared, distinct fingerprints of a group differ in 16 bits at most, so no group has
 more than 65,536 whatever the input. With more lanes a group has no such bound: one of more than `most_rows` is dealt by
@@ -118,9 +118,20 @@ def spanning_links(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int, most_rows: int | None = None) -> DataFrame:
+def hub_links(prints: np.ndarray, most: int, hubs: int) -> list[tuple[int, int]]:
+    """Edges to each row from the `hubs` rows nearest to the group's majority of bits, at `most` differing bits."""
+    if len(prints) <= 2:
+        return []
+    bits = np.unpackbits(prints.view(np.uint8).reshape(-1, 8), axis=1)
+    middle = np.packbits((bits.sum(axis=0) * 2 > len(prints)).astype(np.uint8)).view(np.uint64)[0]
+    nearest = np.argsort(np.bitwise_count(prints ^ middle), kind="stable")[:hubs]
+    return [(int(h), int(k)) for h in nearest for k in np.flatnonzero(np.bitwise_count(prints ^ prints[h]) <= most) if k != h]
+
+
+def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int, most_rows: int | None = None, hubs: int = 0) -> DataFrame:
     """Edges (u, v) that join all vertices connected at `most` differing bits of the first lane within some block key, for
-    vertices(vertex, f0, ...) with distinct `vertex`. Copies have been put into one vertex before, so that a group that
+    vertices(vertex, f0, ...) with distinct `vertex`. For links that are verified later, `hubs` adds edges from the middle of
+    each group, as the nearest by 64 bits may fail where the text that all were made from does not. Copies have been put into one vertex before, so that a group that
     shares S of B blocks of a single lane has at most 2 ** (64 * (B - S) / B) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +144,10 @@ def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int,
             u, v = [], []
             for a, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 group = rows[a : a + n]
-                for i, j in spanning_links(group[:, 4].copy().view(np.uint64), most):
-                    u.append(group[i, 3])
-                    v.append(group[j, 3])
+                prints = group[:, 4].copy().view(np.uint64)
+                for i, j in spanning_links(prints, most) + hub_links(prints, most, hubs):
+                    u.append(min(group[i, 3], group[j, 3]))
+                    v.append(max(group[i, 3], group[j, 3]))
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
         for batch in batches:
@@ -184,7 +196,7 @@ def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return prints.join(named, "f0").select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lanes: int = 16, most: int = 14, blocks: int = 32, shared: int = 1, words: int = 5, similarity: float = 0.8, most_rows: int = 20_000) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lanes: int = 16, most: int = 14, blocks: int = 32, shared: int = 1, words: int = 5, similarity: float = 0.8, most_rows: int = 20_000, hubs: int = 4) -> DataFrame:
     """(doc_id, keeper): every document that is a copy of another, and the document of its group that stays.
 
     Equal texts are copies. Other candidates come from 1024-bit fingerprints of the set of single words, in 32 blocks of 32
@@ -198,13 +210,14 @@ def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     copies = rows.select("doc_id", digest.alias("digest")).join(firsts.filter("n > 1"), "digest").select("doc_id", "vertex")
     prints = fingerprints(rows, words=1, lanes=lanes, distinct=True).withColumnRenamed("doc_id", "vertex")
     prints = cut_lineage(prints.join(firsts.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]))
-    candidates = cut_lineage(links(prints, lanes, most, blocks, shared, most_rows))
+    candidates = cut_lineage(links(prints, lanes, most, blocks, shared, most_rows, hubs))
     ends = candidates.select(F.col("u").alias("doc_id")).union(candidates.select(F.col("v").alias("doc_id"))).distinct()
-    sets = rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.array_distinct(shingle_hashes(F.col("text"), words)).alias("s"))
+    # Written, as are the keepers: joins with them are then split where one text has very many copies.
+    sets = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.array_distinct(shingle_hashes(F.col("text"), words)).alias("s")))
     pairs = candidates.join(sets.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("doc_id").alias("v"), F.col("s").alias("b")), "v")
     near = pairs.filter(likeness(F.col("a"), F.col("b")) >= similarity).select("u", "v")
     found = connected_components(near)
-    near_keepers = found.select(F.col("node").alias("vertex"), F.col("root"))
+    near_keepers = written(found.select(F.col("node").alias("vertex"), F.col("root")))
     exact = copies.join(near_keepers, "vertex", "left").select("doc_id", F.coalesce("root", "vertex").alias("keeper"))
     alone = near_keepers.join(copies.select("vertex").distinct(), "vertex", "left_anti").select(F.col("vertex").alias("doc_id"), F.col("root").alias("keeper"))
     return exact.unionByName(alone).distinct()
