@@ -12,7 +12,7 @@ stay linked over all parts; vertices near no pivot may also meet in each other b
 
 Defined results: a null text is empty; a text without words has fingerprint zero; fewer words than a shingle make one
 shingle of the whole sequence; rows without an id take the component of their fingerprint (link_fingerprints) or stay
-(drop_near_duplicates); equal ids are one document; an empty table gives an empty table.
+(drop_near_duplicates), where texts without words are alike; equal ids are one document; an empty table gives an empty table.
 """
 
 from __future__ import annotations
