@@ -7,8 +7,8 @@ among them and, where links are verified later, those to a few hubs: never all p
 
 With one lane, 8 blocks and 6 of them shared, distinct fingerprints of a group differ in 16 bits at most, so no group has
 more than 65,536 whatever the input. With more lanes a group has no such bound: one of more than `most_rows` is dealt by
-hash over parts of that size, each of which also gets the group's pivots (its smallest vertices), so copies of one text
-stay linked over all parts; vertices near no pivot may also meet in each other block that they share.
+hash over buckets of half that size, and every pair of buckets is compared in a part of its own, so any two of the group
+meet; a group's rows are then copied once for each other bucket, which grows with the square of the group.
 
 Defined results: a null text is empty; a text without words has fingerprint zero; fewer words than a shingle make one
 shingle of the whole sequence; rows without an id take the component of their fingerprint (link_fingerprints) or stay
@@ -170,15 +170,16 @@ def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int,
     return together.select("combo", "key", "part", "vertex", "f0").mapInArrow(run, "u long, v long").distinct()
 
 
-def dealt(keyed: DataFrame, most_rows: int, pivots: int = 16) -> DataFrame:
-    """keyed with the groups of more than most_rows rows dealt over parts, each with the group's pivots."""
+def dealt(keyed: DataFrame, most_rows: int) -> DataFrame:
+    """keyed with the groups of more than most_rows rows dealt over buckets of half that size, and a part for each pair of
+    buckets, so that any two rows of a group meet in some part."""
     keyed = written(keyed)
     large = written(keyed.groupBy("combo", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most_rows))
-    parts = F.ceil(F.col("n") / most_rows).cast("int")
-    placed = keyed.drop("part").join(large, ["combo", "key"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("vertex", "combo"), parts), F.lit(0)).cast("int"))
-    least = placed.filter("n is not null").groupBy("combo", "key", "n", F.pmod(F.xxhash64("vertex"), F.lit(pivots)).alias("lot")).agg(F.min(F.struct("vertex", "f0")).alias("pivot"))
-    everywhere = least.select("combo", "key", "pivot.vertex", "pivot.f0", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    return placed.select("combo", "key", "vertex", "f0", "part").unionByName(everywhere)
+    buckets = F.ceil(2 * F.col("n") / most_rows)
+    bucket = F.pmod(F.xxhash64("vertex", "combo"), buckets)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), buckets - 1), lambda j: j != bucket)
+    parts = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(others, lambda j: F.least(j, bucket) * buckets + F.greatest(j, bucket)))
+    return keyed.drop("part").join(large, ["combo", "key"], "left").select("combo", "key", "vertex", "f0", F.explode(parts).alias("part"))
 
 
 def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, most: int = 2, blocks: int = 8, shared: int = 6) -> DataFrame:

@@ -114,3 +114,17 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(500, 500), (501, 502), (502, 501), (None, 3)], "u long, v long")
     got = {r.node: r.root for r in connected_components(edges).collect()}
     assert got == {k: 0 for k in range(301)} | {501: 501, 502: 501}
+
+
+def test_clusters_of_a_large_group_stay_linked(spark):
+    """Many clusters that share one popular block, none near another: each is linked whole, however the group is dealt."""
+    rng = random.Random(14)
+    rows, want = [], {}
+    for c in range(60):
+        base = rng.getrandbits(63)
+        for k in range(3):
+            vertex = 1000 * k + c
+            rows.append((vertex, base ^ (k << 20), 7))
+            want[vertex] = c
+    edges = simhash.links(spark.createDataFrame(rows, "vertex long, f0 long, f1 long"), 2, 4, 2, 1, most_rows=20)
+    assert {r.node: r.root for r in connected_components(edges).collect()} == want
