@@ -5,7 +5,8 @@ score for itself, so that a passage with all of an item's words scores 1 and one
 overlapping windows in which any item fits whole. Windows in which the block maxima of no block of items add up to the
 threshold are pruned, for all windows of a text at once; in the others WAND's pivots are the blocks whose maxima do. What
 scores the threshold or more is verified: of the item's question and of its answer, each at least `overlap` of the five-word
-shingles must stand in the window. Texts never leave their task; only found pairs, or kept rows, come out.
+shingles must stand in the window; or else, as one altered word breaks five shingles, each at least `overlap` of the words
+in order (one word may differ in parts of three to five words), by edit distance, the answer next to the question. Texts never leave their task; only found pairs, or kept rows, come out.
 
 The index is built from the test items (a stated, small set); items are indexed in blocks of at most `block_items`, each
 block against all documents, so that the index in a task has a bounded size. BM25 statistics cover all items.
@@ -52,6 +53,32 @@ def shingles(ids: list[int]) -> set[tuple[int, ...]]:
     return {tuple(ids[k : k + n]) for k in range(len(ids) - n + 1)} if n else set()
 
 
+def edits(part: list[int], window: list[int]) -> int:
+    """The least edit distance in words of `part` to any stretch of `window`."""
+    row = [0] * (len(window) + 1)
+    for k, w in enumerate(part, 1):
+        last, row[0] = row[0], k
+        for j, x in enumerate(window, 1):
+            last, row[j] = row[j], min(last + (w != x), row[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def aligned(question: list[int], answer: list[int], window: list[int], overlap: float) -> tuple[float, float] | None:
+    """Shares of the question's and the answer's words that stand unaltered, if both are enough and stand together."""
+
+    def allowed(n: int) -> int:
+        return max(int((1 - overlap) * n + 1e-9), int(n >= 3))
+
+    q, a = edits(question, window), edits(answer, window)
+    if q > allowed(len(question)) or a > allowed(len(answer)):
+        return None
+    both = edits(question + answer, window)
+    # An answer that is matched by chance elsewhere costs its own words here.
+    if both > allowed(len(question) + len(answer)) or both > q + a + 1:
+        return None
+    return 1 - q / max(1, len(question)), 1 - a / max(1, len(answer))
+
+
 class Terms(dict):
     """Raw word -> term number, 0 for words that no item has; forgets what it has added when it has grown large."""
 
@@ -78,7 +105,7 @@ class ItemIndex:
         vocabulary = sorted({w for _, t in items for w in words_of(t)})
         self.numbers = {w: k + 1 for k, w in enumerate(vocabulary)}
         postings: list[list[tuple[int, float]]] = [[] for _ in range(len(vocabulary) + 1)]
-        self.parts = []
+        self.parts, self.words = [], []
         for at, (_, text) in enumerate(items):
             words = words_of(text)
             impact = {}
@@ -88,7 +115,8 @@ class ItemIndex:
             total = sum(impact.values())
             for w, x in impact.items():
                 postings[self.numbers[w]].append((at, x / total))
-            self.parts.append(tuple(shingles([self.numbers[w] for w in words_of(p)]) for p in question_and_answer(text)))
+            self.words.append(tuple([self.numbers[w] for w in words_of(p)] for p in question_and_answer(text)))
+            self.parts.append(tuple(map(shingles, self.words[-1])))
         self.first = np.cumsum([0, *map(len, postings)])
         self.items = np.array([i for p in postings for i, _ in p], dtype=np.int64)
         self.weights = np.array([w for p in postings for _, w in p])
@@ -148,7 +176,9 @@ class ItemIndex:
                     if n and n not in there:
                         there[n] = {tuple(window[k : k + n]) for k in range(len(window) - n + 1)}
                     shares.append(len(part & there[n]) / len(part) if n else 1.0)
-                if min(shares) >= overlap and (item not in best or score > best[item][0]):
+                if min(shares) < overlap:
+                    shares = aligned(*self.words[item], window, overlap)
+                if shares and (item not in best or score > best[item][0]):
                     best[item] = (score, *shares, start)
         return [(self.ids[item], *found) for item, found in sorted(best.items())]
 

@@ -84,3 +84,18 @@ def test_many_items_in_blocks(spark):
         for r in docs.select("doc_id", "text").collect():
             got |= {(r.doc_id, x[0]) for x in index.leaks(r.text)}
     assert got == whole and len(whole) >= 10
+
+
+def test_items_with_words_replaced_are_found(spark):
+    index, bench, clean = dc.build_indexes(table(spark, SF, "benchmark"))[0], items(spark), prose(spark, 20)
+    rng = random.Random(3)
+    for altered, least in ((1, 0.95), (2, 0.7)):
+        hits = trials = 0
+        for k in range(5 * len(bench)):
+            item, text = bench[k % len(bench)]
+            words = text.split()
+            for at in rng.sample(range(len(words)), altered):
+                words[at] = "otherword"
+            found = {x[0] for x in index.leaks(f"{clean[k % 20][1]} {' '.join(words)} {clean[(k + 1) % 20][1]}")}
+            hits, trials = hits + (item in found), trials + 1
+        assert hits >= least * trials
