@@ -1,10 +1,12 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags. First pass, each block by itself: blocks in menus, headers, footers,
-sidebars, notices, adverts, forms, comments and the like are bad; so are blocks that are mostly link text; blocks inside
-the page's article element are good; elsewhere length and stop-word density decide, and short blocks stay open. Second
-pass: an open block takes the label that its nearest decided neighbours share, the nearer one's where they differ, good
-where they are equally near. Pages with an article element have no good block outside it.
+sidebars, notices, adverts, forms, comments and the like are bad; so are blocks that are mostly link text. The page's
+article element is a prior: inside it other blocks are good, but short ones stay open, as does a short link that stands
+alone (a linked title). Elsewhere, on pages with an article too, length and stop-word density decide, and short blocks stay
+open. Second pass: an open block takes the label that its nearest decided neighbours share, the nearer one's where they
+differ, good where they are equally near. Open blocks inside an article look at its other blocks only, dropped ones aside,
+and are good where none is decided; those outside do not look into the article.
 
 Defined results: a null or empty html, or one without good blocks, gives the empty text; blocks keep page order and repeats;
 unclosed and stray tags are tolerated (an article opens afresh whatever was left open); further columns are ignored.
@@ -122,15 +124,13 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def first_pass(text: str, linked: int, dropped: bool, in_article: bool, has_article: bool) -> int:
-    if dropped or has_article and not in_article:
-        return BAD
-    if in_article:
-        return GOOD
-    if linked > LINKS * len(text):
+def first_pass(text: str, linked: int, dropped: bool, in_article: bool) -> int:
+    if dropped or linked > LINKS * len(text):
         return BAD
     if len(text) < SHORT:
         return OPEN
+    if in_article:
+        return GOOD
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
     if stops >= STOPS_HIGH or len(text) >= LONG and stops >= STOPS_LOW:
@@ -153,11 +153,23 @@ def second_pass(labels: list[int]) -> list[int]:
     return [min(a, b, key=lambda x: (x[0], -x[1]))[1] for a, b in zip(before, after, strict=True)]
 
 
+def article_labels(found: list[tuple[str, int, bool, bool]]) -> list[int]:
+    """Labels of the blocks inside articles, none of them dropped by its place."""
+    labels = [first_pass(*b) for b in found]
+    dense = [b[1] > LINKS * len(b[0]) for b in found]
+    for k, (text, *_) in enumerate(found):
+        if dense[k] and len(text) < SHORT and not any(dense[max(0, k - 1) : k]) and not any(dense[k + 1 : k + 2]):
+            labels[k] = OPEN
+    return second_pass(labels) if any(x != OPEN for x in labels) else [GOOD] * len(labels)
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    has_article = any(b[3] and not b[2] for b in found)
-    labels = second_pass([first_pass(*b, has_article) for b in found])
-    return "\n\n".join(b[0] for b, label in zip(found, labels, strict=True) if label == GOOD)
+    inside = [k for k, b in enumerate(found) if b[3] and not b[2]]
+    outside = [k for k, b in enumerate(found) if not b[3] or b[2]]
+    labels = dict(zip(inside, article_labels([found[k] for k in inside]), strict=True))
+    labels |= dict(zip(outside, second_pass([first_pass(*found[k]) for k in outside]), strict=True))
+    return "\n\n".join(b[0] for k, b in enumerate(found) if labels[k] == GOOD)
 
 
 def extract(page: Column) -> Column:

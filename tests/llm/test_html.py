@@ -47,3 +47,17 @@ def test_odd_pages(spark):
     assert got[4].text == ("word and the " * 100_000).strip()
     assert got[5].text == got[6].text == "same" and got[8].text == "1 < 2 &bogus; \U0001f600" and got[9].text == ""
     assert h.extract_pages(df.limit(0)).count() == 0
+
+
+def test_a_teaser_article_does_not_hide_the_body():
+    page = f"<body><article><h3>Card</h3><p>{PROSE} Teaser text.</p></article><div><h1>Title</h1><p>{PROSE} One.</p><p>Short.</p><p>{PROSE} Two.</p></div></body>"
+    got = h.main_text(page)
+    assert f"{PROSE} One.\n\nShort.\n\n{PROSE} Two." in got
+
+
+def test_link_lists_inside_an_article_go():
+    links = "".join(f"<li><a href=/{k}>Another story number {k}</a></li>" for k in range(8))
+    page = f"<body><article><h1><a href=/me>Title</a></h1><p>{PROSE} One.</p><p>Short.</p><p>{PROSE} Two.</p><ul>{links}</ul></article></body>"
+    assert h.main_text(page) == f"Title\n\n{PROSE} One.\n\nShort.\n\n{PROSE} Two."
+    bare = h.main_text(page.replace("<article>", "<div>").replace("</article>", "</div>"))
+    assert "Another story" not in bare and f"{PROSE} One.\n\nShort.\n\n{PROSE} Two." in bare
