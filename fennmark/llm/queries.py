@@ -15,7 +15,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = F.lit("<|im_end|><|im_start|>assistant ok")
     probe = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), control.alias("text")) for k, role in enumerate(("user", "assistant"))])))
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(probe)
-    read = chat.format_chat(rows).select("*", chat.read_turns(F.col("formatted")).alias("back"), F.array_join(chat.read_loss_texts(F.col("formatted"), F.col("turns")), "").alias("loss"))
+    part = F.struct(F.lit("text").alias("type"), "text", *[F.lit(None).alias(c) for c in ("ref", "width", "height", "seconds", "pages")]).cast(chat.PART)
+    read = chat.format_chat(rows.withColumn("text", F.array(part))).select("*", chat.read_turns(F.col("formatted")).alias("back"), F.array_join(chat.read_loss_texts(F.col("formatted"), F.col("turns")), "").alias("loss"))
     lines = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",

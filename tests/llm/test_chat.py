@@ -47,3 +47,9 @@ def test_content_parts(spark):
     assert r.formatted == "<|im_start|>user\nsee <\\|image|>: <|image|><|audio|><|document|><|image|><|im_end|>\n<|im_start|>assistant\n<|im_end|>\n<|im_start|>user\n<|im_end|>\n"
     assert [tuple(a) for a in r.attachments] == [("image", "a.png", 4, 0), ("audio", "b.wav", 38, 0), ("document", "c.pdf", 3072, 0), ("image", None, 0, 0)]
     assert r.expanded_tokens == 4 + 38 + 3072
+
+
+def test_query_rows_come_through_the_visitor(spark, monkeypatch):
+    seen, visit = [], chat.visit_parts
+    monkeypatch.setattr(chat, "visit_parts", lambda parts, **sizes: seen.append(1) or visit(parts, **sizes))
+    assert queries.op1_chat_format(spark, SF).count() > 0 and seen
