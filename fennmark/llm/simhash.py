@@ -10,9 +10,11 @@ more than 65,536 whatever the input. With more lanes a group has no such bound:
 hash over buckets of half that size, and every pair of buckets is compared in a part of its own, so any two of the group
 meet; a group's rows are then copied once for each other bucket, which grows with the square of the group.
 
-Defined results: a null text is empty; a text without words has fingerprint zero; fewer words than a shingle make one
-shingle of the whole sequence; rows without an id take the component of their fingerprint (link_fingerprints) or stay
-(drop_near_duplicates), where texts without words are alike; equal ids are one document; an empty table gives an empty table.
+Defined results: a null text is empty; a text without words has fingerprint zero, and such texts are alike; fewer words than
+a shingle make one shingle of the whole sequence; a very long text is hashed 255 words at a time; repeated rows have one
+result (link_fingerprints) or go together (drop_near_duplicates), where rows of one id and text count once; rows without an
+id take the component of their fingerprint or stay; rows of one id with several texts are told apart by their texts; ties
+among groups go to the smallest id; an empty table gives an empty table; other columns pass, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fennmark.llm.common import cut_lineage, whole, written
@@ -31,17 +33,22 @@ from fennmark.llm.components import connected_components
 from fennmark.llm.fingerprints import likeness, shingle_hashes
 
 SEED = 42
-#: Row b has the 8 bits of byte b, least first.
-BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
-BYTE_AT = np.arange(8, dtype=np.int64) * 256
 
-
-def mixed(h: np.ndarray, lane: int) -> np.ndarray:
-    """Another hash made from h (the finisher of a 64-bit generator)."""
-    h = h + np.uint64(lane * 0x9E3779B97F4A7C15 & 2**64 - 1)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+def majority(base: np.ndarray, lanes: int) -> list[int]:
+    """The bits that over half the hashes have, for `lanes` hashes made from each: the hash itself, then others of it by the
+    finisher of a 64-bit generator. Summed in bytes, so 255 hashes at a time; memory is bounded however long the text."""
+    steps = np.arange(lanes, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts = np.zeros(lanes * 64, dtype=np.int64)
+    for a in range(0, len(base), 255):
+        h = base[a : a + 255, None] + steps
+        h ^= h >> np.uint64(30)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(27)
+        h *= np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        h[:, 0] = base[a : a + 255]
+        counts += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits((counts * 2 > len(base)).astype(np.uint8), bitorder="little").view("<u8").tolist()
 
 
 def fingerprint(text: str, words: int = 3, lanes: int = 1, distinct: bool = False) -> list[int]:
@@ -56,28 +63,22 @@ def fingerprint(text: str, words: int = 3, lanes: int = 1, distinct: bool = Fals
         ends = np.cumsum([len(w) + 1 for w in found]) - 1
         starts = [0, *(ends[: -words] + 1).tolist()]
         shingles = [joined[a:b] for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)]
-    shingles = set(shingles) if distinct else shingles
-    digest, out = xxhash.xxh64_intdigest, []
-    base = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
-    for lane in range(lanes):
-        h = mixed(base, lane) if lane else base
-        by_byte = np.bincount((h.view(np.uint8).reshape(-1, 8) + BYTE_AT).ravel(), minlength=2048).reshape(8, 256)
-        set_bits = ((by_byte @ BITS).ravel() * 2 > len(h)).astype(np.uint8)
-        out.append(int(np.packbits(set_bits, bitorder="little").view("<u8")[0]))
-    return out
+    shingles, digest = set(shingles) if distinct else shingles, xxhash.xxh64_intdigest
+    return majority(np.array([digest(s, SEED) for s in shingles], dtype="<u8"), lanes)
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, lanes: int = 1, distinct: bool = False) -> DataFrame:
-    """(doc_id, f0, f1, ...) with the lanes as signed longs."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, lanes: int = 1, distinct: bool = False, keep: Column | None = None) -> DataFrame:
+    """(doc_id, f0, f1, ...) with the lanes as signed longs; a string `keep` of the row comes as digest."""
+    names = ["doc_id", *(f"f{k}" for k in range(lanes)), *(["digest"] if keep is not None else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [fingerprint(t, words, lanes, distinct) for t in batch.column(1).to_pylist()]
             lanes_of = np.array(rows, dtype=np.uint64).reshape(-1, lanes).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(lanes_of[:, k].copy()) for k in range(lanes))], ["doc_id", *(f"f{k}" for k in range(lanes))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(lanes_of[:, k].copy()) for k in range(lanes)), *batch.columns[2:]], names)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"f{k} long" for k in range(lanes)))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"), *([keep.alias("digest")] if keep is not None else []))
+    return rows.mapInArrow(run, ", ".join(f"{c} {'string' if c == 'digest' else 'long'}" for c in names))
 
 
 def block_keys(vertices: DataFrame, lanes: int, blocks: int, shared: int) -> DataFrame:
@@ -163,23 +164,25 @@ def links(vertices: DataFrame, lanes: int, most: int, blocks: int, shared: int,
         if rest is not None and len(rest):
             yield emit(rest)
 
-    keyed = block_keys(vertices, lanes, blocks, shared).withColumn("part", F.lit(0))
-    if most_rows:
-        keyed = dealt(keyed, most_rows)
+    keyed = dealt(block_keys(vertices, lanes, blocks, shared), most_rows)
     together = keyed.repartition("combo", "key", "part").sortWithinPartitions("combo", "key", "part", "vertex")
     return together.select("combo", "key", "part", "vertex", "f0").mapInArrow(run, "u long, v long").distinct()
 
 
-def dealt(keyed: DataFrame, most_rows: int) -> DataFrame:
-    """keyed with the groups of more than most_rows rows dealt over buckets of half that size, and a part for each pair of
-    buckets, so that any two rows of a group meet in some part."""
-    keyed = written(keyed)
+def dealt(keyed: DataFrame, most_rows: int | None) -> DataFrame:
+    """keyed with a part: 0, but the groups of more than most_rows rows are dealt over buckets of half that size, and there is
+    a part for each pair of buckets, so that any two rows of a group meet in some part, whatever its size."""
+    alone = keyed.withColumn("part", F.lit(0).cast("long"))
+    if not most_rows:
+        return alone
     large = written(keyed.groupBy("combo", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most_rows))
+    if large.isEmpty():
+        return alone
     buckets = F.ceil(2 * F.col("n") / most_rows)
     bucket = F.pmod(F.xxhash64("vertex", "combo"), buckets)
     others = F.filter(F.sequence(F.lit(0).cast("long"), buckets - 1), lambda j: j != bucket)
     parts = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(others, lambda j: F.least(j, bucket) * buckets + F.greatest(j, bucket)))
-    return keyed.drop("part").join(large, ["combo", "key"], "left").select("combo", "key", "vertex", "f0", F.explode(parts).alias("part"))
+    return written(keyed).join(large, ["combo", "key"], "left").select("combo", "key", "vertex", "f0", F.explode(parts).alias("part"))
 
 
 def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, most: int = 2, blocks: int = 8, shared: int = 6) -> DataFrame:
@@ -197,34 +200,39 @@ def link_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return prints.join(named, "f0").select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lanes: int = 16, most: int = 14, blocks: int = 32, shared: int = 1, words: int = 5, similarity: float = 0.8, most_rows: int = 20_000, hubs: int = 4) -> DataFrame:
-    """(doc_id, keeper): every document that is a copy of another, and the document of its group that stays.
+def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lanes: int = 32, most: int = 14, blocks: int = 64, shared: int = 1, words: int = 5, similarity: float = 0.8, most_rows: int = 20_000, hubs: int = 4) -> DataFrame:
+    """(doc_id, digest, keeper): every document that is a copy of another, by its id and the SHA-256 of its text, and the id
+    of the document of its group that stays.
 
-    Equal texts are copies. Other candidates come from 1024-bit fingerprints of the set of single words, in 32 blocks of 32
-    bits: pairs within 31 bits meet for certain, texts alike in 0.8 of their five-word shingles (about 80 bits) in nine of
-    ten cases, in 0.9 of them nearly always. A candidate link counts if the first 64 bits differ in at most `most` and the
-    texts' sets of five-word shingles have a Jaccard similarity of 0.8 or more. Groups are connected components.
+    Equal texts are copies. Other candidates come from 2048-bit fingerprints of the set of single words, in 64 blocks of 32
+    bits: pairs within 63 bits meet for certain, others by chance (recall by length: README). A candidate link counts if the
+    first 64 bits differ in at most `most` and the texts' sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+    Groups are connected components. Of an id with several texts, the one of least digest stands for it in such links; the
+    others are compared with equal texts alone.
     """
-    rows = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
+    rows = docs.filter(F.col(f"`{doc_id}`").isNotNull()).select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), whole(F.col(f"`{text}`")).alias("text"))
     digest = F.sha2("text", 256)
-    firsts = cut_lineage(rows.select("doc_id", digest.alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("vertex"), F.count("*").alias("n")))
-    copies = rows.select("doc_id", digest.alias("digest")).join(firsts.filter("n > 1"), "digest").select("doc_id", "vertex")
-    prints = fingerprints(rows, words=1, lanes=lanes, distinct=True).withColumnRenamed("doc_id", "vertex")
-    prints = cut_lineage(prints.join(firsts.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]))
+    firsts = cut_lineage(rows.select("doc_id", digest.alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("vertex"), (F.count("*") > 1).alias("copied")))
+    ends_of = firsts.groupBy("vertex").agg(F.min("digest").alias("digest"))
+    copies = rows.select("doc_id", digest.alias("digest")).join(firsts.filter("copied"), "digest").select("doc_id", "digest", "vertex")
+    prints = fingerprints(rows.select("doc_id", "text"), words=1, lanes=lanes, distinct=True, keep=digest)
+    prints = cut_lineage(prints.withColumnRenamed("doc_id", "vertex").join(ends_of, ["vertex", "digest"], "left_semi").dropDuplicates(["vertex"]).drop("digest"))
     candidates = cut_lineage(links(prints, lanes, most, blocks, shared, most_rows, hubs))
-    ends = candidates.select(F.col("u").alias("doc_id")).union(candidates.select(F.col("v").alias("doc_id"))).distinct()
+    ends = candidates.select(F.col("u").alias("vertex")).union(candidates.select(F.col("v").alias("vertex"))).distinct().join(ends_of, "vertex")
     # Written, as are the keepers: joins with them are then split where one text has very many copies.
-    sets = written(rows.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.array_distinct(shingle_hashes(F.col("text"), words)).alias("s")))
-    pairs = candidates.join(sets.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("doc_id").alias("v"), F.col("s").alias("b")), "v")
+    texts = rows.select(F.col("doc_id").alias("vertex"), "text", digest.alias("digest")).join(ends, ["vertex", "digest"], "left_semi")
+    sets = written(texts.dropDuplicates(["vertex"]).select("vertex", F.array_distinct(shingle_hashes(F.col("text"), words)).alias("s")))
+    pairs = candidates.join(sets.select(F.col("vertex").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("vertex").alias("v"), F.col("s").alias("b")), "v")
     near = pairs.filter(likeness(F.col("a"), F.col("b")) >= similarity).select("u", "v")
     found = connected_components(near)
-    near_keepers = written(found.select(F.col("node").alias("vertex"), F.col("root")))
-    exact = copies.join(near_keepers, "vertex", "left").select("doc_id", F.coalesce("root", "vertex").alias("keeper"))
-    alone = near_keepers.join(copies.select("vertex").distinct(), "vertex", "left_anti").select(F.col("vertex").alias("doc_id"), F.col("root").alias("keeper"))
+    near_keepers = written(found.select(F.col("node").alias("vertex"), F.col("root")).join(ends_of, "vertex"))
+    exact = copies.join(near_keepers, ["vertex", "digest"], "left").select("doc_id", "digest", F.coalesce("root", "vertex").alias("keeper"))
+    alone = near_keepers.join(copies.select("digest").distinct(), "digest", "left_anti").select(F.col("vertex").alias("doc_id"), "digest", F.col("root").alias("keeper"))
     return exact.unionByName(alone).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """docs without the copies that near_duplicate_groups() finds: of each group the smallest id stays."""
-    gone = near_duplicate_groups(docs, doc_id, text, **how).filter("doc_id <> keeper").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
+    gone = near_duplicate_groups(docs, doc_id, text, **how).filter("doc_id <> keeper").select(F.col("doc_id").alias("gone of id"), F.col("digest").alias("gone of digest")).distinct()
+    same = (F.col(f"`{doc_id}`").cast("long") == F.col("`gone of id`")) & (F.sha2(whole(F.col(f"`{text}`")), 256) == F.col("`gone of digest`"))
+    return docs.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
