@@ -24,20 +24,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share. Where it is unset, a local session gets a
+    temporary one, as in tests; on a cluster that is an error, since executors would not see each other's files."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return shared or tempfile.mkdtemp(prefix="shared-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the folder named by spark.checkpoint.dir; a folder of our own only where none is set."""
+    """df as a checkpoint in the shared folder."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the folder named by spark.checkpoint.dir, which every executor can read again: for rows that
-    are used more than once and would be costly to make again."""
+    """df as a Parquet table in the shared folder, which every executor can read again: for rows that are used more than once
+    and would be costly to make again."""
     spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tables-")
-    path = f"{shared}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,8 +6,8 @@ programming over the multiset of the other lengths (one bit of a big integer for
 closest to the room left; counts are found by tracing the steps back, and a filling repeats while its lengths last.
 Only lengths and checksums are shuffled, never texts or ids.
 
-Defined results: a null text is empty and has the end id alone; equal rows each get their own pieces; ids may repeat or be
-null; an empty table gives an empty table; further columns are ignored.
+Defined results: a null text is empty and has the end id alone; a very long text is cut into whole windows; repeated rows each get
+their own pieces; ties of length are taken in any order; ids may repeat or be null; an empty table gives an empty table; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -143,7 +143,8 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         found = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
         return found.assign(doc_id=found["doc_id"].astype("Int64"), sequence_id=found["sequence_id"] + (group << 40))
 
-    dealt = tokenized(docs, doc_id, text, capacity, name).withColumn("grp", F.pmod(F.xxhash64("doc_id", "doc_tokens", "crcs"), F.lit(groups)))
+    # By the row's place in its file partition too, so that rows alike in all are dealt over many groups; a retried task has the same.
+    dealt = tokenized(docs, doc_id, text, capacity, name).withColumn("grp", F.pmod(F.xxhash64("doc_id", "doc_tokens", "crcs", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("grp").applyInPandas(pack, PIECES)
 
 

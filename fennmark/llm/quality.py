@@ -6,10 +6,12 @@ sum and a steadying constant; beside it stands by how much the text compresses b
 repetition looks alike to both dictionaries. Platt scaling on labelled texts that the dictionaries have not seen makes the
 two a probability of being good.
 
-Learning reads a sample of at most `per_class` labelled texts of each class, the ones of least hash; scoring reads every
-whole text. Labels, language, source and id are no inputs of a score, only the text is.
+Learning reads a sample of at most `per_class` labelled texts of each class, the ones of least hash, as far as they add up to
+`sample_chars` characters; scoring reads every whole text. Labels, language, source and id are no inputs of a score, only
+the text is.
 
-Defined results: a null text is empty; an empty text has feature 0, so the calibrated prior; labels that are null, of ids
+Defined results: a null text is empty; a very long text is compressed block by block; repeated rows and ties are each scored
+alike; an empty table gives an empty table; an empty text has feature 0, so the calibrated prior; labels that are null, of ids
 that no document has, or contradictory for one id (the larger counts) do no harm; without texts of both classes every
 score is the share of good labels (0.5 without labels); further columns are ignored or passed through.
 """
@@ -22,12 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fennmark.llm.common import whole
 
-PER_CLASS, DICT_BYTES, BLOCK_BYTES, STEADY_BYTES, LEVEL, LONGEST = 1500, 64 << 10, 384, 128, 1, 200_000
+PER_CLASS, SAMPLE_CHARS, DICT_BYTES, BLOCK_BYTES, STEADY_BYTES, LEVEL = 1500, 12_000_000, 64 << 10, 384, 128, 1
 
 
 class QualityModel:
@@ -128,22 +130,26 @@ def platt(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, ...]:
     return (*(w[:-1] / scale).tolist(), float(w[-1]))
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column | None, per_class: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, y): up to per_class labelled rows of each class, by least hash of the id, without texts over
-    LONGEST characters; `learn` says of an id whether its label may be learnt from."""
+def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column | None, per_class: int, sample_chars: int = SAMPLE_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, y): labelled rows of each class by least hash of the id, whole texts of any length, up to per_class rows
+    and as far as their texts add up to sample_chars; so what the driver reads is bounded. `learn` says of an id whether its
+    label may be learnt from. Of several texts of one id the one of least hash counts."""
     ids = labels.groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     ids = ids if learn is None else ids.filter(learn)
     chosen = [ids.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
-    return rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").filter(F.length("text") <= LONGEST).dropDuplicates(["doc_id"])
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text")).withColumn("h", F.xxhash64("text"))
+    sizes = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct("h", F.length("text").alias("n"))).alias("t"))
+    so_far = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    kept = sizes.withColumn("so_far", F.sum(F.col("t.n").cast("long")).over(so_far)).filter(F.col("so_far") <= sample_chars).select("doc_id", "y", F.col("t.h").alias("h"))
+    return rows.join(F.broadcast(kept), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "y")
 
 
 def learnable(doc_id: str = "doc_id", parts: int = 3, held_out: int = 1) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % parts != held_out
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = PER_CLASS) -> QualityModel:
-    rows = sorted(map(tuple, sample_labelled(docs, labels, "quality", learn, per_class).collect()))
+def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = PER_CLASS, sample_chars: int = SAMPLE_CHARS) -> QualityModel:
+    rows = sorted(map(tuple, sample_labelled(docs, labels, "quality", learn, per_class, sample_chars).collect()))
     return fit([r[1] for r in rows], [r[2] for r in rows])
 
 

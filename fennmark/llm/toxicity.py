@@ -5,11 +5,13 @@ dimension starts as the z-score of a word's document frequency among toxic texts
 vector is the sum of its own and of its first five letters', for inflected words. Words and beginnings seen in fewer than `LEAST_DOCS` training texts have a zero vector, so rare words cannot be learnt by heart. The logit becomes a
 score by a scale and a threshold of greatest F1 for each language; the language is guessed from the text's own function words.
 
-Learning reads at most `per_class` labelled texts of each class, the ones of least hash; scoring reads every whole text.
+Learning reads at most `per_class` labelled texts of each class, the ones of least hash, as far as they add up to
+`sample_chars` characters; scoring reads every whole text.
 Labels, language, source and id are no inputs of a score. For scoring, each filter is folded into a table of its
 embeddings, so that a window costs a few look-ups.
 
-Defined results: a null text is empty; an empty text has a logit of no words, so the scaled prior; null or contradictory
+Defined results: a null text is empty; a very long text is scored a stretch of words at a time; repeated rows and ties are each
+scored alike; an empty table gives an empty table; an empty text has a logit of no words, so the scaled prior; null or contradictory
 labels as in quality.sample_labelled; without texts of both classes every score is the share of toxic labels (0 without
 labels); further columns are ignored.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fennmark.llm.common import whole
-from fennmark.llm.quality import platt, sample_labelled
+from fennmark.llm.quality import SAMPLE_CHARS, platt, sample_labelled
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 PREFIX, PER_CLASS, LEAST_DOCS, EPOCHS, BATCH, RATE = 5, 2000, 3, 8, 64, 0.01
@@ -263,8 +265,8 @@ def scale(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return slope, -slope * float(cut)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = PER_CLASS) -> ToxicityModel:
-    rows = sorted(map(tuple, sample_labelled(docs, labels, "toxic", learn, per_class).collect()))
+def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_class: int = PER_CLASS, sample_chars: int = SAMPLE_CHARS) -> ToxicityModel:
+    rows = sorted(map(tuple, sample_labelled(docs, labels, "toxic", learn, per_class, sample_chars).collect()))
     return fit([r[1] for r in rows], [r[2] for r in rows])
 
 
