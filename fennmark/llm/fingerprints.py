@@ -4,7 +4,9 @@ Two sketches made with one fraction can be merged by union and compared by conta
 A text whose hashes all lie above the threshold keeps its least hash, so only texts without words have empty sketches.
 
 Defined results: a null text is empty; an empty text has no words, no shingles and an empty sketch; a text of fewer words
-than a shingle is one shingle; two empty sketches have likeness 1, an empty and another one 0. Built-in functions only.
+than a shingle is one shingle; two empty sketches have likeness 1, an empty and another one 0; a very long text has a sketch of
+an eighth of its shingles; repeated rows and rows of one id follow one another by hash of the text; an empty table gives an
+empty table; further columns are ignored, whatever their names. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -50,29 +52,44 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has, 0 to 1; 1 where a has none."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def containment(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """Estimated share of a's shingles that b has, 0 to 1; 1 where a has none. Null, for unknown, where a has no hash below the
+    threshold and b does not hold its least one: b, if longer, keeps no such hash even where it has the shingle."""
+    below = -(2**63) + int(2**64 * fraction)
+    share = F.size(F.array_intersect(a, b)) / F.size(a)
+    return F.when(F.size(a) == 0, F.lit(1.0)).when((F.get(a, F.lit(0)) >= F.lit(below)) & (share == 0), F.lit(None).cast("double")).otherwise(share)
 
 
 def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), " ")
 
 
-def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_rows: int = 64, max_buckets: int = 200_000) -> tuple[DataFrame, Window]:
+def bucket_of(k: Column, edges: list[float], top: float, per: int) -> Column:
+    """The bucket of a number: `per` of equal width between each two neighbours of `edges`, which ascend. It never falls as k grows."""
+    widths = F.lit([max((b - a) / per, 1e-9) for a, b in zip(edges, [*edges[1:], top], strict=True)])
+    lows, steps = F.lit(edges), [1 << s for s in range(len(edges).bit_length() - 1, -1, -1)]
+    further = lambda at, step: F.when(F.coalesce(F.get(lows, at + step) <= k, F.lit(False)), at + step).otherwise(at)
+    return let(F.aggregate(F.lit(steps), F.lit(0), further), lambda at: at * F.lit(per).cast("long") + F.least(F.floor((k - F.get(lows, at)) / F.get(widths, at)), F.lit(per - 1).cast("long")))
+
+
+def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket_rows: int = 64, max_buckets: int = 200_000, ranges: int = 256) -> tuple[DataFrame, Window]:
     """Rows (doc_id, text, next_text, halo) and the window in which a row's next document stands, by descending doc_id.
 
-    After the last document comes the first. Ids are dealt into buckets of equal width, so no task holds the whole order;
-    the first row of each bucket is sent along to the bucket before it (halo), which is what joins the buckets. The
-    table of bucket heads has at most max_buckets rows. Rows without an id come last, by hash of their text; rows of
-    one id are ordered by that hash too.
+    After the last document comes the first. Ids are dealt into buckets, so no task holds the whole order; the first row of
+    each bucket is sent along to the bucket before it (halo), which is what joins the buckets. Buckets have equal width within
+    `ranges` quantiles of the ids, so ids that lie unevenly crowd one range at most. The table of bucket heads has at most
+    about max_buckets rows. Rows without an id come last, by hash of their text; rows of one id are ordered by that hash too.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    n, low, high = docs.agg(F.count("*"), F.min(doc_id), F.max(doc_id)).first()
-    buckets = max(1, min(max_buckets, math.ceil(n / bucket_rows)))
-    width = 1 if low is None else max(1, math.ceil((high - low + 1) / buckets))
+    n = docs.count()
+    ranges = max(1, min(ranges, math.ceil(n / bucket_rows)))
+    per = max(1, math.ceil(min(max_buckets, n / bucket_rows) / ranges))
+    ids = F.col(doc_id).cast("long")
+    low, high, quantiles = docs.agg(F.min(ids), F.max(ids), F.percentile_approx(ids, [k / ranges for k in range(ranges)], 100 * ranges)).first()
+    edges = sorted({float(x) for x in [low or 0, *(quantiles or [])]})
     rows = rows.withColumns({"named": F.col("doc_id").isNotNull(), "k": F.coalesce("doc_id", "h")})
-    rows = rows.withColumn("bucket", F.when(F.col("named"), F.expr(f"k div {width}L")).otherwise(F.expr(f"k div {2**64 // buckets + 1 if buckets > 2 else 2**62}L")))
+    named, other = bucket_of(F.col("k").cast("double"), edges, float(high or 0) + 1.0, per), bucket_of(F.col("k").cast("double"), [-(2.0**63)], 2.0**63, ranges * per)
+    rows = rows.withColumn("bucket", F.when(F.col("named"), named).otherwise(other))
     heads = rows.groupBy("named", "bucket").agg(F.max(F.struct("k", "h")).alias("head"))
     order = Window.orderBy(F.desc("named"), F.desc("bucket"))
     first = F.first(F.struct("named", "head")).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

@@ -2,12 +2,14 @@
 
 A group (equal texts) goes where the dot product of its size vector with the shard's residual capacity is highest. Groups
 over a 64th of a shard are few whatever the input's size (at most 64 x shards for each dimension), so the driver places
-them first; those over a quarter of a shard are split by a hash of the id beforehand. All other groups are dealt by hash
-into blocks of bounded size, and each block fills its part of the capacity that the large groups left. Only ids, sizes
-and digests are shuffled, never texts.
+them first, each whole where it fits; one that fits nowhere is split by a hash of its rows. All other groups are dealt by
+hash into blocks of bounded size, one row a group however many documents it has, and each block fills its part of the
+capacity that the large groups left. Slots are numbered in blocks of bounded size too, with what stands before each added.
+Only ids, sizes and digests are shuffled, never texts.
 
-Defined results: a null text is empty and counts as equal to an empty one; repeated rows each get a slot; ids may be null;
-an empty table gives an empty table; further columns are ignored.
+Defined results: a null text is empty and counts as equal to an empty one; a very long text is a large group; repeated rows each
+get a slot, also where ids are null; ties go to the least shard; an empty table gives an empty table; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -19,23 +21,30 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fennmark.llm.common import cut_lineage, whole
+from fennmark.llm.common import cut_lineage, whole, written
 
 DIMENSIONS = ("size", "tokens", "n")
 #: What a balanced byte is worth against a token or a row, each as a share of the shard's capacity.
 WEIGHTS = np.array([4.0, 1.0, 1.0])
-LARGE, SPLIT, CHUNKS, BLOCK_ROWS = 1 / 64, 1 / 4, 8, 4096
+LARGE, CHUNKS, BLOCK_ROWS = 1 / 64, 8, 4096
+#: How far over its capacity a shard may go for a group to stay whole.
+OVER = 0.002
 
 
-def place(items: np.ndarray, residual: np.ndarray, capacity: np.ndarray) -> np.ndarray:
-    """Shard of each item (rows of sizes), largest first; residual (shards x dimensions) is used up in place."""
+def place(items: np.ndarray, residual: np.ndarray, capacity: np.ndarray, fit: bool = False) -> np.ndarray:
+    """Shard of each item (rows of sizes), largest first; residual (shards x dimensions) is used up in place. With fit, an item
+    that has no room in any shard is left out and gets -1."""
     scale = WEIGHTS / np.maximum(capacity, 1e-9) ** 2
     order = np.argsort(-(items / np.maximum(capacity, 1e-9)).max(axis=1), kind="stable")
-    out = np.empty(len(items), dtype=np.int64)
+    out = np.full(len(items), -1, dtype=np.int64)
     for k in order:
-        shard = int(np.argmax(residual @ (items[k] * scale)))
-        residual[shard] -= items[k]
-        out[k] = shard
+        value = residual @ (items[k] * scale)
+        if fit:
+            value[(residual + OVER * capacity < items[k]).any(axis=1)] = -np.inf
+        shard = int(np.argmax(value))
+        if value[shard] > -np.inf:
+            residual[shard] -= items[k]
+            out[k] = shard
     return out
 
 
@@ -54,42 +63,41 @@ def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", t
         F.crc32(held.cast("binary")).alias("crc"),
         F.unhex(F.substring(F.sha2(held, 256), 1, 32)).alias("key"),
     )
-    rows = cut_lineage(rows)
+    rows = cut_lineage(rows).withColumn("row", F.monotonically_increasing_id())  # of a checkpoint, so it stays the same
     spark = rows.sparkSession
     totals = rows.agg(F.sum("size"), F.sum("tokens"), F.count("*")).first()
     capacity = np.array([x or 0 for x in totals], dtype=float) / shards
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("n")]
-    over = lambda share: " or ".join(f"{d} > {float(c * share)!r}D" for d, c in zip(DIMENSIONS, capacity, strict=True))
-    large = pd.DataFrame([tuple(r) for r in rows.groupBy("key").agg(*sums).filter(over(LARGE)).collect()], columns=["key", *DIMENSIONS])
-    large["key"] = large["key"].map(bytes)
-    ratio = (large[list(DIMENSIONS)].to_numpy(dtype=float).reshape(-1, 3) / np.maximum(capacity, 1e-9)).max(axis=1, initial=0)
-    large["k"] = np.where(ratio > SPLIT, np.ceil(ratio * CHUNKS), 1).astype(np.int64)
-    chunks = F.broadcast(spark.createDataFrame(large[["key", "k"]].values.tolist(), "key binary, k long"))
-    rows = rows.join(chunks, "key", "left").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.coalesce("k", F.lit(1))))
-    whole_ones = large[large["k"] == 1].assign(chunk=0)[["key", "chunk", *DIMENSIONS]]
-    split = [tuple(r) for r in rows.filter("k > 1").groupBy("key", "chunk").agg(*sums).collect()] if (large["k"] > 1).any() else []
-    items = pd.concat([whole_ones, pd.DataFrame([(bytes(r[0]), *r[1:]) for r in split], columns=["key", "chunk", *DIMENSIONS])]).sort_values(["key", "chunk"])
+    groups = rows.groupBy("key").agg(*sums)
+    over = " or ".join(f"{d} > {float(c * LARGE)!r}D" for d, c in zip(DIMENSIONS, capacity, strict=True))
+    sized = lambda found: np.array([[r[d] for d in DIMENSIONS] for r in found], dtype=float).reshape(-1, len(DIMENSIONS))
+    large = sorted(groups.filter(over).collect(), key=lambda r: bytes(r["key"]))
     residual = np.tile(capacity, (shards, 1))
-    items["placed"] = place(items[list(DIMENSIONS)].to_numpy(dtype=float).reshape(-1, 3), residual, capacity)
-    fixed = F.broadcast(spark.createDataFrame([(bytes(a), int(b), int(c)) for a, b, c in items[["key", "chunk", "placed"]].itertuples(index=False)], "key binary, chunk long, placed int"))
+    at = place(sized(large), residual, capacity, fit=True)
+    fixed = [(bytes(r["key"]), 0, int(p)) for r, p in zip(large, at, strict=True) if p >= 0]
+    ratio = (sized(large) / np.maximum(capacity, 1e-9)).max(axis=1, initial=0)
+    split = [(bytes(r["key"]), int(np.ceil(x * CHUNKS)) + 1) for r, p, x in zip(large, at, ratio, strict=True) if p < 0]
+    kinds = F.broadcast(spark.createDataFrame([*((k, 1) for k, _, _ in fixed), *split], "key binary, k long"))
+    rows = rows.join(kinds, "key", "left").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "row"), F.coalesce("k", F.lit(1))))
+    if split:
+        chunks = sorted(rows.filter("k > 1").groupBy("key", "chunk").agg(*sums).collect(), key=lambda r: (bytes(r["key"]), r["chunk"]))
+        fixed += [(bytes(r["key"]), int(r["chunk"]), int(p)) for r, p in zip(chunks, place(sized(chunks), residual, capacity), strict=True)]
     blocks = max(1, ceil((totals[2] or 0) / block_rows))
-    rows = rows.join(fixed, ["key", "chunk"], "left").withColumn("block", F.when(F.col("placed").isNull(), F.pmod(F.xxhash64("key"), F.lit(blocks))).otherwise(F.pmod(F.xxhash64("doc_id", "crc"), F.lit(blocks))))
     room = np.maximum(residual, 0)
     room_share = np.where(room.sum(axis=0) > 0, room / np.maximum(room.sum(axis=0), 1e-9), 1 / shards)
 
     def fill(of_block: pd.DataFrame) -> pd.DataFrame:
-        of_block = of_block.assign(n=1, placed=of_block["placed"].astype("float"))
-        loose = of_block[of_block["placed"].isna()]
-        if len(loose):
-            groups = loose.groupby("key", sort=True)[list(DIMENSIONS)].sum()
-            sizes = groups.to_numpy(dtype=float)
-            found = place(sizes, room_share * sizes.sum(axis=0), sizes.sum(axis=0) / shards)
-            of_block["placed"] = of_block["placed"].fillna(of_block["key"].map(dict(zip(groups.index, found, strict=True))))
-        of_block = of_block.assign(shard=of_block["placed"].astype("int32")).sort_values(["shard", "doc_id", "crc"])
-        return of_block.assign(at=of_block.groupby("shard").cumcount())[["doc_id", "size", "crc", "block", "shard", "at"]].astype({"doc_id": "Int64"})
+        of_block = of_block.sort_values("key")
+        sizes = of_block[list(DIMENSIONS)].to_numpy(dtype=float)
+        found = place(sizes, room_share * sizes.sum(axis=0), sizes.sum(axis=0) / shards)
+        return pd.DataFrame({"key": of_block["key"], "chunk": 0, "shard": found})
 
-    filled = rows.select("doc_id", "size", "tokens", "crc", "key", "placed", "block").groupBy("block").applyInPandas(fill, "doc_id long, size long, crc long, block long, shard int, at long")
-    filled = cut_lineage(filled)
+    loose = groups.filter(f"not ({over})").withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))).groupBy("block").applyInPandas(fill, "key binary, chunk long, shard int")
+    # Written, so that the join has plain shuffles on both sides: Spark splits those where a group is large.
+    places = written(loose.unionByName(spark.createDataFrame([(k, c, p) for k, c, p in fixed], "key binary, chunk long, shard int")))
+    numbered = rows.select("doc_id", "size", "crc", "key", "chunk", "row").join(places, ["key", "chunk"]).withColumn("block", F.pmod(F.xxhash64("row"), F.lit(max(1, blocks // shards))))
+    along = Window.partitionBy("shard", "block").orderBy("doc_id", "crc", "row")
+    filled = cut_lineage(numbered.select("doc_id", "size", "crc", "shard", "block", (F.row_number().over(along) - 1).cast("long").alias("at")))
     counts = filled.groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))

@@ -68,3 +68,28 @@ def test_merge_and_containment(spark):
     r = df.select(fp.containment(s["part"], s["long"]).alias("inside"), fp.containment(s["other"], s["long"]).alias("outside"), fp.merge(s["part"], s["other"]).alias("both"), F.array_sort(F.array_union(s["part"], s["other"])).alias("union"), F.size(s["long"]).alias("n")).first()
     assert r.inside == 1.0 and r.outside == 0.0 and r.both == r.union
     assert abs(r.n - 3996 / 8) < 120
+
+
+def test_short_texts_in_long_ones_are_never_said_to_be_outside(spark):
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(" ".join(words), " ".join(words[k : k + 8]), " ".join(f"v{k}x{j}" for j in range(8))) for k in range(0, 1000, 25)]
+    df = spark.createDataFrame(rows, "long string, part string, other string")
+    s = {c: fp.scaled_sketch(F.col(c)) for c in df.columns}
+    got = df.select(fp.containment(s["part"], s["long"]).alias("inside"), fp.containment(s["other"], s["long"]).alias("outside")).collect()
+    assert {r.inside for r in got} == {1.0, None} and {r.outside for r in got} <= {0.0, None}
+
+
+def test_uneven_and_extreme_ids(spark):
+    """The next document is right, and ids crowd no bucket, for dense ids beside ids 2^63 apart."""
+    rows = [(k, f"text {k}") for k in range(6000)] + [(-(2**63), "lowest"), (2**63 - 1, "highest"), (4 * 10**18, "far"), (None, "none a"), (None, "none b")]
+    found, _ = fp.with_next(documents(spark, rows))
+    found = found.filter("halo = 0").select("doc_id", "text", "next_text", "bucket").collect()
+    nexts = {r.doc_id: r.next_text for r in found if r.doc_id is not None}
+    ids = sorted((i for i, _ in rows if i is not None), reverse=True)
+    by = dict(rows)
+    assert len(found) == len(rows) and all(nexts[a] == by[b] for a, b in zip(ids, ids[1:]))
+    assert {nexts[ids[-1]], *(r.next_text for r in found if r.doc_id is None)} == {"none a", "none b", "highest"}
+    sizes = {}
+    for r in found:
+        sizes[r.doc_id is None, r.bucket] = sizes.get((r.doc_id is None, r.bucket), 0) + 1
+    assert max(sizes.values()) <= 300

@@ -85,3 +85,14 @@ def test_closest_fill_is_optimal():
         fill = packing.closest_fill(counts, room)
         assert sum(x * n for x, n in fill.items()) == max(r for r in reach if r <= room)
         assert all(n <= counts[x] for x, n in fill.items())
+
+
+def test_both_tokenizers_agree_on_random_texts():
+    """encode() takes a faster library for usual characters: 4,000 random strings over all of them."""
+    import random
+
+    rng = random.Random(5)
+    usual = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), 0x20AC] if not packing.UNUSUAL.search(chr(c))]
+    pick = lambda: rng.choice((usual, [" ", "\n", "\t", "a", "E", "'", "s", "1"]))
+    texts = ["".join(rng.choice(pick()) for _ in range(rng.randrange(1, 60))) for _ in range(4000)]
+    assert all(packing.encode(t).tolist() == ids for t, ids in zip(texts, own_ids(texts), strict=True))
