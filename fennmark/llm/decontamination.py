@@ -3,15 +3,16 @@
 Items are words, lower-cased and without marks around them. A term's weight in an item is its BM25 impact over the item's
 score for itself, so that a passage with all of an item's words scores 1 and one threshold serves all items. Passages are
 overlapping windows in which any item fits whole. Windows in which the block maxima of no block of items add up to the
-threshold are pruned, for all windows of a text at once; in the others WAND's pivots are the blocks whose maxima do. What
+threshold are pruned first, for many windows of a text at once; the others go through block-max WAND. What
 scores the threshold or more is verified: of the item's question and of its answer, each at least `overlap` of the five-word
 shingles must stand in the window; or else, as one altered word breaks five shingles, each at least `overlap` of the words
 in order (one word may differ in parts of three to five words), by edit distance, the answer next to the question. Texts never leave their task; only found pairs, or kept rows, come out.
 
-The index is built from the test items (a stated, small set); items are indexed in blocks of at most `block_items`, each
+The index is built from the test items on the driver (a stated, small set; more than MOST_ITEMS or MOST_CHARS is an error); items are indexed in blocks of at most `block_items`, each
 block against all documents, so that the index in a task has a bounded size. BM25 statistics cover all items.
 
-Defined results: null texts are empty and match nothing; items without words match nothing; equal items are found each by
+Defined results: null texts are empty and match nothing; very long texts take bounded memory; an empty table gives an empty table
+or, without items, all documents; ties of score go to the first window; items without words match nothing; equal items are found each by
 its id; an item with no sentence end before its last third has its last third of words as answer; repeated rows are found
 each; further columns are ignored (find_leaks) or passed through (drop_leaking).
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 from fennmark.llm.common import whole
 
 K1, B, THRESHOLD, OVERLAP, SHINGLE, POSTINGS_BLOCK, BLOCK_ITEMS, SLACK = 1.2, 0.75, 0.7, 0.8, 5, 8, 2000, 1e-4
+#: Strides in work at once, which bounds the memory a long text takes; an item number behind all.
+AT_ONCE, FAR = 256, 1 << 60
+#: Most items and characters of items that a driver collects.
+MOST_ITEMS, MOST_CHARS = 500_000, 200_000_000
 MARKS = ".,;:!?\"'()[]{}<>*#%&$|-_…«»„“”"
 
 
@@ -123,6 +129,7 @@ class ItemIndex:
         self.block_max = np.zeros((len(postings), max(1, -(-len(items) // POSTINGS_BLOCK))), dtype=np.float32)
         np.maximum.at(self.block_max, (np.repeat(np.arange(len(postings)), np.diff(self.first)), self.items // POSTINGS_BLOCK), np.nextafter(self.weights.astype(np.float32), np.float32(2)))
         self.longest = max((len(words_of(t)) for _, t in items), default=0)
+        self.term_max, self.item_list, self.weight_list = self.block_max.max(axis=1), self.items.tolist(), self.weights.tolist()
         self._terms = None
 
     def __getstate__(self) -> dict:
@@ -136,25 +143,62 @@ class ItemIndex:
         return ids[ids >= 0]
 
     def retrieve(self, terms: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """All (item position, score) with a score of threshold or more for a passage of these distinct terms."""
-        pivots = self.block_max[terms].sum(axis=0) >= threshold - SLACK
-        if not pivots.any():
+        """All (item position, score) with a score of threshold or more for a passage of these distinct terms, by block-max WAND.
+
+        Each term has a cursor in its postings. By their item, the first cursors whose greatest weights add up to the threshold
+        give the pivot, as no item before it can reach it. The pivot is scored if its block can; else all cursors skip the block."""
+        reach = (self.block_max[terms].sum(axis=0) >= threshold - SLACK).tolist()
+        if not any(reach):
             return []
-        starts, counts = self.first[terms], self.first[terms + 1] - self.first[terms]
-        at = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        at = at[pivots[self.items[at] // POSTINGS_BLOCK]]
-        scores = np.bincount(self.items[at], weights=self.weights[at])
-        found = np.flatnonzero(scores >= threshold - 1e-9)
-        return list(zip(found.tolist(), scores[found].tolist(), strict=True))
+        # (item, place in the postings, their end, greatest weight) of each term
+        cursors = [[self.item_list[a], a, b, w] for a, b, w in zip(self.first[terms].tolist(), self.first[terms + 1].tolist(), self.term_max[terms].tolist(), strict=True) if a < b]
+        found = []
+
+        def advance(cursor: list, item: int) -> None:
+            cursor[1] = at = bisect_left(self.item_list, item, cursor[1], cursor[2])
+            cursor[0] = self.item_list[at] if at < cursor[2] else FAR
+
+        while True:
+            cursors.sort()
+            bound, pivot = 0.0, FAR
+            for cursor in cursors:
+                bound += cursor[3]
+                if bound >= threshold - SLACK:
+                    pivot = cursor[0]
+                    break
+            if pivot == FAR:
+                return found
+            block = pivot // POSTINGS_BLOCK
+            if not reach[block]:
+                # The next block that can; items before the pivot cannot, nor can those of the blocks between.
+                block = next((k for k in range(block + 1, len(reach)) if reach[k]), None)
+                if block is None:
+                    return found
+                target = block * POSTINGS_BLOCK
+            elif cursors[0][0] < pivot:
+                target = pivot
+            else:
+                score = sum(self.weight_list[c[1]] for c in cursors if c[0] == pivot)
+                if score >= threshold - 1e-9:
+                    found.append((pivot, score))
+                target = pivot + 1
+            for cursor in cursors:
+                if cursor[0] >= target:
+                    break
+                advance(cursor, target)
 
     def passages(self, ids: np.ndarray, stride: int, threshold: float) -> np.ndarray:
         """Starts of the windows of two strides in which some block may reach the threshold. A stride's bound counts each of
-        its terms once, a window's bound adds those of its strides."""
-        n = -(-len(ids) // stride)
-        at = np.unique(np.arange(len(ids)) // stride * len(self.block_max) + ids)
-        bounds = np.add.reduceat(self.block_max[at % len(self.block_max)], np.searchsorted(at // len(self.block_max), np.arange(n)), axis=0)
-        bounds[:-1] += bounds[1:]
-        return np.flatnonzero((bounds >= threshold - SLACK).any(axis=1)) * stride
+        its terms once, a window's bound adds those of its strides. Of a long text, AT_ONCE strides are in work at a time."""
+        out, step = [], AT_ONCE * stride
+        for start in range(0, len(ids), step):
+            part = ids[start : start + step + stride]  # its last window needs the next stride
+            n = -(-len(part) // stride)
+            at = np.unique(np.arange(len(part)) // stride * len(self.block_max) + part)
+            bounds = np.add.reduceat(self.block_max[at % len(self.block_max)], np.searchsorted(at // len(self.block_max), np.arange(n)), axis=0)
+            bounds[:-1] += bounds[1:]
+            out.append(start + np.flatnonzero((bounds[:AT_ONCE] >= threshold - SLACK).any(axis=1)) * stride)
+        return np.concatenate(out)
 
     def leaks(self, text: str, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple[int, float, float, float, int]]:
         """(item id, score, overlap of question, of answer, first word of the window) of each verified item, best window."""
@@ -185,7 +229,11 @@ class ItemIndex:
 
 def build_indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_items: int = BLOCK_ITEMS) -> list[ItemIndex]:
     """One index for each block of items; almost always one."""
-    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole(text).alias("text")).collect()
+    chosen = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole(text).alias("text"))
+    n, chars = chosen.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
+    if n > MOST_ITEMS or chars > MOST_CHARS:
+        raise ValueError(f"{n} items of {chars} characters are too many for an index on the driver; give them in parts")
+    rows = chosen.collect()
     items = sorted(((r["item_id"], r["text"]) for r in rows if words_of(r["text"])), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     frequency = Counter(w for _, t in items for w in set(words_of(t)))
     mean_words = sum(len(words_of(t)) for _, t in items) / max(1, len(items))

@@ -8,7 +8,8 @@ open. Second pass: an open block takes the label that its nearest decided neighb
 differ, good where they are equally near. Open blocks inside an article look at its other blocks only, dropped ones aside,
 and are good where none is decided; those outside do not look into the article.
 
-Defined results: a null or empty html, or one without good blocks, gives the empty text; blocks keep page order and repeats;
+Defined results: a null or empty html, or one without good blocks, gives the empty text; a very long page is one row like any
+other; repeated rows and ties are each extracted alike; an empty table gives an empty table; blocks keep page order and repeats;
 unclosed and stray tags are tolerated (an article opens afresh whatever was left open); further columns are ignored.
 """
 

@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 
 from fennmark.llm import decontamination as dc
+from fennmark.llm import queries
 from fennmark.llm.common import table
 from tests.llm.edge import documents, prose
 from tests.oracle import SF
@@ -99,3 +101,30 @@ def test_items_with_words_replaced_are_found(spark):
             found = {x[0] for x in index.leaks(f"{clean[k % 20][1]} {' '.join(words)} {clean[(k + 1) % 20][1]}")}
             hits, trials = hits + (item in found), trials + 1
         assert hits >= least * trials
+
+
+def test_long_texts_take_bounded_memory_and_lose_nothing(spark, monkeypatch):
+    index, bench, clean = dc.build_indexes(table(spark, SF, "benchmark"))[0], items(spark), prose(spark, 40)
+    text = " ".join(f"{c} {b}" for (_, c), (_, b) in zip(clean, bench, strict=False))
+    want = index.leaks(text)
+    assert {x[0] for x in want} >= {i for i, _ in bench[:40]}
+    for strides in (1, 2, 3, 7):
+        monkeypatch.setattr(dc, "AT_ONCE", strides)
+        assert index.leaks(text) == want
+
+
+def test_query_equals_brute_force(spark):
+    """op7's pairs are those of which question and answer stand in the text, by looking at every place of every text."""
+    words = lambda t: dc.words_of(t)
+    got = {(r.doc_id, r.item_id) for r in queries.op7_decontamination(spark, SF).collect()}
+    want = set()
+    for r in table(spark, SF, "documents").select("doc_id", "text").collect():
+        held = " ".join(["", *words(r.text), ""])
+        want |= {(r.doc_id, i) for i, t in items(spark) if " ".join(["", *words(t), ""]) in held}
+    assert want and got == want
+
+
+def test_too_many_items_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(dc, "MOST_ITEMS", 3)
+    with pytest.raises(ValueError, match="too many"):
+        dc.build_indexes(table(spark, SF, "benchmark"))
