@@ -12,7 +12,9 @@ def latest_versions(entries: DataFrame, name: str = "name_en") -> DataFrame:
 
 
 def reconcile(a: DataFrame, b: DataFrame, name: str = "name_en") -> DataFrame:
-    """(name, status, year_a, rev_a, year_b, rev_b): same, conflict, only_a or only_b. Joined by name, never by translation."""
+    """(name, status, year_a, rev_a, year_b, rev_b): same, conflict, only_a or only_b. Joined by name, never by translation. Of
+    a name that a side has more than once its latest version counts."""
+    a, b = (latest_versions(side, name) for side in (a, b))
     left = a.select(name, F.col("year").alias("year_a"), F.col("rev").alias("rev_a"), F.lit(True).alias("in_a"))
     right = b.select(name, F.col("year").alias("year_b"), F.col("rev").alias("rev_b"), F.lit(True).alias("in_b"))
     same = F.col("year_a").eqNullSafe(F.col("year_b")) & F.col("rev_a").eqNullSafe(F.col("rev_b"))
@@ -25,6 +27,11 @@ def missing_from(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "left_anti")
 
 
+def left_over(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The rows of a beyond those of b, each as often as it has more in a."""
+    return a.exceptAll(b)
+
+
 def facets(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count("*").alias("n"))
 

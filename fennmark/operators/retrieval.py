@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fennmark.functions.text import tokens
@@ -14,27 +14,49 @@ from fennmark.functions.text import tokens
 K1, B = 1.2, 0.75
 
 
-def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", terms: list[str] | None = None) -> DataFrame:
-    """(doc_id, term, tf, doc_length); of the given terms only, if there are any. Counting starts before the shuffle."""
-    words = docs.select(doc_id, tokens(F.col(text)).alias("w")).withColumn("doc_length", F.size("w").cast("bigint"))
-    kept = F.col("w") if terms is None else F.filter("w", lambda w: w.isin(*terms))
-    return words.select(doc_id, "doc_length", F.explode(kept).alias("term")).groupBy(doc_id, "term", "doc_length").agg(F.count("*").alias("tf"))
-
-
 def inverted_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(term, df, tf): documents and occurrences of each term."""
-    return postings(docs, doc_id, text).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").cast("bigint").alias("tf"))
-
-
-def bm25(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score) of every document that has one of the terms. The statistics are one row and a row per term."""
-    found = postings(docs, doc_id, text, terms)
-    corpus = docs.agg(F.count("*").alias("n_docs"), F.avg(F.size(tokens(F.col(text)))).alias("mean_length"))
-    by_term = found.groupBy("term").agg(F.count("*").alias("df"))
-    rows = found.join(F.broadcast(by_term), "term").crossJoin(F.broadcast(corpus))  # a row per query term, and one row
-    idf = F.ln(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_length") / F.col("mean_length")))
-    return rows.groupBy(doc_id).agg(F.round(F.sum(part), 6).alias("score"))
+    """(term, df, tf): documents and occurrences of each term. A document's words are sorted in its row, where the first of
+    each stands out, so only counts by term are shuffled."""
+    words = docs.select(F.sort_array(tokens(F.col(text))).alias("w"))
+    marked = F.transform("w", lambda x, k: F.struct(x.alias("term"), F.coalesce(F.get("w", k - 1) != x, F.lit(True)).cast("bigint").alias("first")))
+    return words.select(F.inline(marked)).groupBy("term").agg(F.sum("first").alias("df"), F.count("*").alias("tf"))
+
+
+def bm25(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", text: str = "text", of: Column | None = None) -> DataFrame:
+    """(doc_id, score) of every document that has one of the terms, or of those for which `of` holds; the statistics, one row,
+    cover all documents. A document is scored in its row, so nothing but the statistics is shuffled."""
+
+    def times(term: str) -> Column:
+        return F.size(F.filter("w", lambda w: w == term))
+
+    words = docs.select(doc_id, tokens(F.col(text)).alias("w"), (F.lit(True) if of is None else of).alias("of"))
+    corpus = words.agg(F.count("*").alias("n_docs"), F.avg(F.size("w")).alias("mean_length"), *[F.count_if(F.array_contains("w", t)).alias(f"df{k}") for k, t in enumerate(terms)])
+    counted = words.filter("of").select(doc_id, F.size("w").alias("length"), *[times(t).alias(f"tf{k}") for k, t in enumerate(terms)])
+    rows = counted.filter(" or ".join(f"tf{k} > 0" for k in range(len(terms))) or "false").crossJoin(F.broadcast(corpus))  # one row
+
+    def part(k: int) -> Column:
+        df, tf = F.col(f"df{k}"), F.col(f"tf{k}")
+        return F.ln(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
+
+    return rows.select(doc_id, F.round(sum((part(k) for k in range(len(terms))), F.lit(0.0)), 6).alias("score"))
+
+
+def ranked(rows: DataFrame, score: str, key: str = "doc_id", bins: int = 256) -> DataFrame:
+    """(key, rank) by falling score, ties by key. Rows are dealt into bins by quantiles of the score, then of the key, numbered
+    in each bin, and what stands in the bins before is added, so no task sorts them all; a bin holds more than its share only
+    where as many rows have one score and one key."""
+    shares = [k / bins for k in range(1, bins)]
+    tops, keys = rows.agg(F.percentile_approx(score, shares, 100 * bins), F.percentile_approx(key, shares, 100 * bins)).first()
+    tops, keys = sorted(set(tops or [])), sorted(set(keys or []))
+    # Even numbers are scores that equal an edge, which alone may be many; only those are cut by key.
+    over = lambda value, edges: F.size(F.filter(F.lit(edges), lambda e: value > e)) if edges else F.lit(0)
+    edge = F.array_contains(F.lit(tops), F.col(score)) if tops else F.lit(False)
+    placed = rows.select(key, score, (-(2 * over(F.col(score), tops) + edge.cast("int"))).alias("bin"), F.when(edge, over(F.col(key), keys)).otherwise(0).alias("part"))
+    inside = F.row_number().over(Window.partitionBy("bin", "part").orderBy(F.desc(score), key))
+    counts = placed.groupBy("bin", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("bin", "part").rowsBetween(Window.unboundedPreceding, -1))  # of at most a few bins squared rows
+    starts = counts.select("bin", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    return placed.withColumn("k", inside).join(F.broadcast(starts), ["bin", "part"]).select(key, (F.col("before") + F.col("k")).cast("bigint").alias("rank"))
 
 
 def top_k(scores: DataFrame, k: int, doc_id: str = "doc_id", score: str = "score") -> DataFrame:
@@ -44,34 +66,34 @@ def top_k(scores: DataFrame, k: int, doc_id: str = "doc_id", score: str = "score
 
 
 def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", block: int = 2048) -> DataFrame:
-    """(query_id, vec_id, cosine, rank): the k nearest vectors of each query, itself aside.
+    """(query_id, vec_id, cosine, rank): the k nearest vectors of each query, itself aside; a zero vector has cosine 0 to all.
 
-    Queries go out in blocks of bounded size; each task multiplies its vectors with a block and sends k rows a query, so
-    the ranking that follows reads k rows for each query and task.
+    Vectors and queries are gathered into rows of about `block` vectors by hash of their ids; every block of queries meets
+    every block of vectors, in one plan whatever their number, and gives k rows a query, which is what the ranking reads.
     """
-    ids = sorted(r[0] for r in queries.select(vec_id).collect())
-    parts = []
-    for a in range(0, len(ids), block):
-        rows = queries.filter(F.col(vec_id).between(ids[a], ids[min(a + block, len(ids)) - 1])).select(vec_id, embedding).collect()
-        query_ids, matrix = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
-        norms = np.linalg.norm(matrix, axis=1)
-
-        def run(batches: Iterator[pd.DataFrame], query_ids: np.ndarray = query_ids, matrix: np.ndarray = matrix, norms: np.ndarray = norms) -> Iterator[pd.DataFrame]:
-            for rows in batches:
-                if not len(rows):
-                    continue
-                own = np.stack(rows["e"].to_numpy()).astype(float)
-                scores = np.round(own @ matrix.T / (np.linalg.norm(own, axis=1)[:, None] * norms[None, :]), 6)
-                own_ids = rows["i"].to_numpy()
-                for j, q in enumerate(query_ids):
-                    order = np.lexsort((own_ids, -scores[:, j]))[: k + 1]
-                    order = order[own_ids[order] != q][:k]
-                    yield pd.DataFrame({"query_id": q, "vec_id": own_ids[order], "cosine": scores[order, j]})
-
-        parts.append(vectors.select(F.col(vec_id).alias("i"), F.col(embedding).alias("e")).mapInPandas(run, "query_id long, vec_id long, cosine double"))
-    found = parts[0] if parts else vectors.select(F.col(vec_id).alias("query_id"), F.col(vec_id).alias("vec_id"), F.lit(0.0).alias("cosine")).limit(0)
-    for p in parts[1:]:
-        found = found.unionByName(p)
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        n = max(1, -(-rows.count() // block))
+        dealt = rows.select(F.pmod(F.xxhash64(vec_id), F.lit(n)).alias("b"), F.struct(F.col(vec_id).cast("long").alias("i"), F.col(embedding).alias("e")).alias("v"))
+        return dealt.groupBy("b").agg(F.collect_list("v").alias("v")).select(F.col("v.i").alias(f"{name}_ids"), F.flatten("v.e").alias(f"{name}_values"))
+
+    def unit(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+        rows = np.asarray(values, dtype=float).reshape(len(ids), -1)
+        norms = np.linalg.norm(rows, axis=1, keepdims=True)
+        return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for r in rows.itertuples(index=False):
+                ids, asked = np.asarray(r.v_ids), np.asarray(r.q_ids)
+                scores = np.round(unit(asked, r.q_values) @ unit(ids, r.v_values).T, 6)
+                scores[asked[:, None] == ids[None, :]] = -np.inf
+                order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
+                found = pd.DataFrame({"query_id": np.repeat(asked, order.shape[1]), "vec_id": ids[order].ravel(), "cosine": np.take_along_axis(scores, order, axis=1).ravel()})
+                yield found[found["cosine"] > -np.inf]
+
+    pairs = blocks(vectors, "v").crossJoin(blocks(queries, "q"))  # a stated query set against all rows, in blocks
+    found = pairs.mapInPandas(run, "query_id long, vec_id long, cosine double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return found.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k)
 
@@ -84,7 +106,12 @@ def fuse_ranks(*rankings: DataFrame, key: str = "doc_id", constant: int = 60) ->
     return both.groupBy(key).agg(F.round(F.sum(1 / (constant + F.col("rank"))), 9).alias("score"))
 
 
-def context_under_budget(ranked: DataFrame, budget: int, group: str, size: str = "n_chars", rank: str = "rank") -> DataFrame:
-    """Of each group, in order of rank, the rows whose sizes add up to the budget at most."""
-    running = F.sum(size).over(Window.partitionBy(group).orderBy(rank).rowsBetween(Window.unboundedPreceding, 0))
-    return ranked.withColumn("running", running.cast("bigint")).filter(F.col("running") <= budget)
+def context_under_budget(ranked: DataFrame, budget: int, group: str, size: str = "n_chars", rank: str = "rank", deals: int = 256) -> DataFrame:
+    """Of each group, in order of rank, the rows whose sizes (not negative) add up to the budget at most.
+
+    Each group is dealt over tasks first. A row that is beyond the budget among its deal alone is beyond it in all, and so is
+    every row behind it; the first such row of a deal is kept, so that the sums of those behind stay beyond the budget too."""
+    dealt = ranked.withColumn("deal", F.pmod(F.xxhash64(rank), F.lit(deals)))
+    running = lambda *keys: F.sum(size).over(Window.partitionBy(*keys).orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)).cast("bigint")
+    near = dealt.withColumn("running", running(group, "deal")).filter(F.col("running") - F.col(size) <= budget).drop("running", "deal")
+    return near.withColumn("running", running(group)).filter(F.col("running") <= budget)

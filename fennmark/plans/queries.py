@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fennmark.functions import text as T
 from fennmark.operators import catalogue, corpus, dialogue, retrieval, routing, usage
 from fennmark.plans import samples
-from fennmark.session import table
+from fennmark.session import table, work_folder
 from fennmark.sources import catalogue as reader
 from fennmark.streaming import events as streams
 
@@ -53,7 +53,12 @@ def c1_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.parse_linked_table(samples.lines(spark, samples.LINKED))
 
 
-@query("c2_block_list", f"select cast(row_number() over (order by case name_en when 'Alder Fever' then 1 else 2 end) as int) pos, name_en, url, guide_id, year, rev from ({LINKED_SQL}) where name_en in ('Alder Fever', 'Fir [Grand] Chill')")
+BLOCKS_SQL = f"""with b as (select unnest(regexp_extract_all('{samples.BLOCKS}', '\\[[^\n]+\\]\\([^()\n]+\\)\\s+Version: [0-9.]+')) b, unnest(generate_series(1, 9)) pos)
+select cast(pos as int) pos, regexp_extract(b, '^\\[(.+)\\]\\(', 1) name_en, regexp_extract(b, '\\]\\(([^()]+)\\)', 1) url, cast(regexp_extract(b, 'id=([0-9]+)', 1) as int) guide_id,
+  cast(regexp_extract(b, 'Version: [0-9]+[.]([0-9]+)', 1) as int) as year, cast(regexp_extract(b, 'Version: ([0-9]+)', 1) as int) rev from b where b is not null"""
+
+
+@query("c2_block_list", BLOCKS_SQL)
 def c2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.parse_blocks(samples.lines(spark, samples.BLOCKS, whole=True))
 
@@ -87,16 +92,31 @@ def c6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.missing_from(table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query("c6_unlabelled_mix", "select lang, source from documents except all select lang, source from documents join labels using (doc_id)")
+def c6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return catalogue.left_over(docs.select("lang", "source"), docs.join(table(spark, sf_dir, "labels"), "doc_id").select("lang", "source"))
+
+
 @query("c7_facets", "select lang, source, count(*) n from documents group by lang, source")
 def c7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.facets(table(spark, sf_dir, "documents"), "lang", "source")
 
 
-@query("c8_control_totals", f"select cast(5 as bigint) stated, count(*) counted, count(*) = 5 agrees from ({TABLE_SQL})")
+@query("c8_control_totals", f"""with s as (select cast(sum(cast(x as bigint)) as bigint) stated from (select unnest(regexp_extract_all('{samples.SUMMARY}', '[*][*]：([0-9]+)', 1)) x)), n as (select count(*) counted from ({TABLE_SQL}))
+select stated, counted, stated = counted agrees from s, n""")
 def c8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.check_totals(reader.parse_summary(samples.lines(spark, samples.SUMMARY)), c1(spark, sf_dir))
 
 
+@query("k1_directory_tree", "select 'lang=' || lang category, 'source=' || source topic, cast(sum(length(text) + 1) as bigint) chars from documents group by all")
+def k1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents written as a tree of text files, a folder for each language and source, and read by category and topic."""
+    folder = work_folder(spark, "tree")
+    table(spark, sf_dir, "documents").select("lang", "source", "text").write.partitionBy("lang", "source").text(folder)
+    return reader.read_tree(spark, folder).groupBy("category", "topic").agg(F.sum(F.length("value")).alias("chars"))
+
+
 @query(
     "k2_html_to_text",
     r"""select page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) as text from pages""",
@@ -143,13 +163,18 @@ def r1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.inverted_index(table(spark, sf_dir, "documents"))
 
 
-BM25_SQL = f"""with w as (select doc_id, {WORDS} words from documents), s as (select count(*) n, avg(len(words)) mean from w),
-tf as (select doc_id, len(words) dl, term, len(list_filter(words, lambda x: x = term)) tf from w, (values ('the'), ('and'), ('ein')) t(term)),
+def bm25_sql(*terms: str) -> str:
+    values = ", ".join(f"('{t}')" for t in terms)
+    return f"""with w as (select doc_id, {WORDS} words from documents), s as (select count(*) n, avg(len(words)) mean from w),
+tf as (select doc_id, len(words) dl, term, len(list_filter(words, lambda x: x = term)) tf from w, (values {values}) t(term)),
 hit as (select * from tf where tf > 0), df as (select term, count(*) df from hit group by term),
 scores as (select doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) score from hit join df using (term), s group by doc_id)
 """
 
 
+BM25_SQL = bm25_sql("the", "and", "ein")
+
+
 @query("r2_bm25", BM25_SQL + "select doc_id, score from scores")
 def r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.bm25(table(spark, sf_dir, "documents"), ["the", "and", "ein"])
@@ -178,36 +203,19 @@ def r3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "r4_rank_fusion",
-    """with a as (select doc_id, row_number() over (order by n_chars desc, doc_id) as rank from documents), b as (select doc_id, row_number() over (partition by lang order by doc_id) as rank from documents)
+    f"""with a as ({bm25_sql("the", "and", "ein")}select doc_id, row_number() over (order by score desc, doc_id) as rank from scores),
+b as ({bm25_sql("of", "in", "der")}select doc_id, row_number() over (order by score desc, doc_id) as rank from scores)
 select doc_id, round(sum(1 / (60 + rank)), 9) score from (select * from a union all select * from b) group by doc_id""",
 )
 def r4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranks by length and by age within the language. A rank over all rows comes from counts of the lengths, not from one sorted task."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return retrieval.fuse_ranks(longest_first(docs), within_language(docs))
-
-
-def longest_first(docs: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    by_length = docs.groupBy("n_chars").agg(F.count("*").alias("n"))
-    width = 1024
-    coarse = by_length.groupBy(F.expr(f"n_chars div {width}").alias("bin")).agg(F.sum("n").alias("n"))
-    over = coarse.select("bin", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = docs.withColumn("bin", F.expr(f"n_chars div {width}")).withColumn("k", F.row_number().over(Window.partitionBy("bin").orderBy(F.desc("n_chars"), "doc_id")))
-    return ranked.join(over, "bin").select("doc_id", (F.col("before") + F.col("k")).cast("bigint").alias("rank"))
-
-
-def within_language(docs: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    return docs.select("doc_id", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")).cast("bigint").alias("rank"))
+    """The lexical rankings of two questions fused; there is no key from documents to vectors by which to fuse with r3."""
+    docs = table(spark, sf_dir, "documents")
+    return retrieval.fuse_ranks(*[retrieval.ranked(retrieval.bm25(docs, terms), "score") for terms in (["the", "and", "ein"], ["of", "in", "der"])])
 
 
 @query("r5_filtered_retrieval", BM25_SQL + "select doc_id, score from scores join documents using (doc_id) where lang = 'de'")
 def r5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.filter("lang = 'de'").select("doc_id").join(retrieval.bm25(docs, ["the", "and", "ein"]), "doc_id")
+    return retrieval.bm25(table(spark, sf_dir, "documents"), ["the", "and", "ein"], of=F.col("lang") == "de")
 
 
 @query(
@@ -308,7 +316,9 @@ def u4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("st1_stream_dedup", "select distinct event_id, user_id, event_type from events")
 def st1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = streams.without_repeats(streams.event_stream(spark, sf_dir), "40 days").select("event_id", "user_id", "event_type")
+    """Every event comes twice, as from a source that delivers at least once."""
+    twice = streams.event_stream(spark, sf_dir).unionByName(streams.event_stream(spark, sf_dir))
+    stream = streams.without_repeats(twice, "40 days").select("event_id", "user_id", "event_type")
     return streams.run_to_files(spark, stream, "st1")
 
 

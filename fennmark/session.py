@@ -13,5 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder's path in the shared folder that spark.checkpoint.dir names; in the local temporary one only where none is set."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
+    """A new folder's path in the shared folder that spark.checkpoint.dir names. Where it is unset, a local session gets a
+    temporary one; on a cluster that is an error, since executors would not see each other's files."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"

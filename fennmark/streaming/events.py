@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,18 +34,22 @@ def run_to_files(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
-def upsert_latest(spark: SparkSession, stream: DataFrame, key: str, *order: str) -> DataFrame:
+def upsert_latest(spark: SparkSession, stream: DataFrame, key: str, *order: str, folder: str | None = None) -> DataFrame:
     """The row of each key with the greatest order columns, kept up from batch to batch as generations of a table.
 
-    A batch that is run again writes its own generation again, so a restart changes nothing."""
-    folder = work_folder(spark, "upsert")
-    done: list[int] = []
+    Batches are numbered without gaps, and a batch reads the generation before its own and writes its own over whatever is
+    there. So a batch that is run again changes nothing, and a query that is started again on the same folder goes on from
+    the last generation there. Each generation is a whole table: a run of many small batches wants larger triggers."""
+    folder = folder or work_folder(spark, "upsert")
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = batch if not done else batch.unionByName(spark.read.parquet(f"{folder}/generation={done[-1]}"))
+        rows = batch if number == 0 else batch.unionByName(spark.read.schema(stream.schema).parquet(f"{folder}/state/generation={number - 1}"))
         latest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("r")).select("r.*")
-        latest.write.mode("overwrite").parquet(f"{folder}/generation={number}")
-        done.append(number)
-
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}-state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/generation={done[-1]}") if done else spark.createDataFrame([], stream.schema)
+        latest.write.mode("overwrite").parquet(f"{folder}/state/generation={number}")
+
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    try:
+        generations = spark.read.parquet(f"{folder}/state").agg(F.max("generation")).first()[0]
+    except AnalysisException:  # no batch yet
+        generations = None
+    return spark.createDataFrame([], stream.schema) if generations is None else spark.read.schema(stream.schema).parquet(f"{folder}/state/generation={generations}")

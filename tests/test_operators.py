@@ -84,3 +84,47 @@ def test_upsert_over_batches(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path))
     assert {tuple(r) for r in events.upsert_latest(spark, stream, "k", "v").collect()} == {(1, 3), (2, 5)}
+
+
+def test_upsert_goes_on_after_a_restart(spark, tmp_path):
+    from fennmark.streaming import events
+
+    schema, folder = "k long, v long", str(tmp_path / "work")
+    read = lambda: events.upsert_latest(spark, spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), "k", "v", folder=folder)
+    spark.createDataFrame([(1, 1), (2, 5)], schema).coalesce(1).write.parquet(str(tmp_path / "in" / "a"))
+    assert {tuple(r) for r in read().collect()} == {(1, 1), (2, 5)}
+    assert {tuple(r) for r in read().collect()} == {(1, 1), (2, 5)}
+    spark.createDataFrame([(1, 3), (2, 4)], schema).coalesce(1).write.parquet(str(tmp_path / "in" / "b"))
+    assert {tuple(r) for r in read().collect()} == {(1, 3), (2, 5)}
+
+
+def test_ranks_with_many_ties(spark):
+    rows = [(k, float(k % 7 if k % 3 else 3)) for k in range(500)]
+    got = {r.doc_id: r.rank for r in retrieval.ranked(spark.createDataFrame(rows, "doc_id long, score double"), "score", bins=8).collect()}
+    assert got == {k: n + 1 for n, (k, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
+    assert retrieval.ranked(spark.createDataFrame([], "doc_id long, score double"), "score").count() == 0
+
+
+def test_context_is_the_same_however_it_is_dealt(spark):
+    rows = [(k, "g" if k % 3 else "h", (k * 37) % 50) for k in range(400)]
+    df = spark.createDataFrame(rows, "rank long, grp string, n_chars long")
+    got = [sorted(map(tuple, retrieval.context_under_budget(df, 600, "grp", deals=n).collect())) for n in (1, 7, 256)]
+    want = []
+    for g in "gh":
+        total = 0
+        for k, of, size in rows:
+            if of == g and (total := total + size) <= 600:
+                want.append((k, g, size, total))
+    assert got == [sorted(want)] * 3
+
+
+def test_zero_and_repeated_vectors(spark):
+    rows = [(0, [0.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [-1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [(r.vec_id, r.cosine) for r in retrieval.cosine_top_k(vectors, vectors.filter("vec_id = 1").limit(1), 3).orderBy("rank").collect()]
+    assert got == [(2, 0.707107), (0, 0.0), (3, -1.0)]
+
+
+def test_reconcile_takes_the_latest_of_a_name(spark):
+    a = spark.createDataFrame([("x", 2025, 1), ("x", 2026, 1)], "name_en string, year int, rev int")
+    assert [tuple(r) for r in catalogue.reconcile(a, a.limit(1)).collect()][0][:2] == ("x", "conflict")
