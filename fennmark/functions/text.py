@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +18,12 @@ def normalise(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case words of letters and digits, without empty ones."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once a row, even where body uses it often or within a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def han_bigrams(text: Column) -> Column:

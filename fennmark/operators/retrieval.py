@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fennmark.functions.text import tokens
+from fennmark.functions.text import let, tokens
 
 K1, B = 1.2, 0.75
 
@@ -22,21 +22,29 @@ def inverted_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return words.select(F.inline(marked)).groupBy("term").agg(F.sum("first").alias("df"), F.count("*").alias("tf"))
 
 
-def bm25(docs: DataFrame, terms: list[str], doc_id: str = "doc_id", text: str = "text", of: Column | None = None) -> DataFrame:
-    """(doc_id, score) of every document that has one of the terms, or of those for which `of` holds; the statistics, one row,
-    cover all documents. A document is scored in its row, so nothing but the statistics is shuffled."""
+def term_counts(docs: DataFrame, terms: list[str], folder: str, doc_id: str = "doc_id", text: str = "text", of: Column | None = None) -> DataFrame:
+    """(doc_id, length, of, tf_<term>...) of every document: its words and the occurrences of each term; `of` marks those to
+    score. A few numbers a document, written to `folder`, so that what reads them often cuts each text into words once."""
+
+    def times(words: Column, term: str) -> Column:
+        return F.size(F.filter(words, lambda w: w == term)).alias(f"tf_{term}")
 
-    def times(term: str) -> Column:
-        return F.size(F.filter("w", lambda w: w == term))
+    count = lambda words: F.struct(F.size(words).alias("length"), *[times(words, t) for t in terms])
+    marked = F.coalesce(F.lit(True) if of is None else of, F.lit(False)).alias("of")
+    docs.select(doc_id, marked, let(F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")), count).alias("n")).select(doc_id, "of", "n.*").write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
 
-    words = docs.select(doc_id, tokens(F.col(text)).alias("w"), (F.lit(True) if of is None else of).alias("of"))
-    corpus = words.agg(F.count("*").alias("n_docs"), F.avg(F.size("w")).alias("mean_length"), *[F.count_if(F.array_contains("w", t)).alias(f"df{k}") for k, t in enumerate(terms)])
-    counted = words.filter("of").select(doc_id, F.size("w").alias("length"), *[times(t).alias(f"tf{k}") for k, t in enumerate(terms)])
-    rows = counted.filter(" or ".join(f"tf{k} > 0" for k in range(len(terms))) or "false").crossJoin(F.broadcast(corpus))  # one row
+
+def bm25(counts: DataFrame, terms: list[str], doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, score) of every document of term_counts() that is marked and has one of the terms; the statistics, one row,
+    cover all documents. A document is scored in its row, so nothing but the statistics is shuffled."""
+    tf = [F.col(f"`tf_{t}`") for t in terms]
+    corpus = counts.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"), *[F.count_if(n > 0).alias(f"df{k}") for k, n in enumerate(tf)])
+    rows = counts.filter("of").filter(sum(tf, F.lit(0)) > 0).crossJoin(F.broadcast(corpus))  # one row
 
     def part(k: int) -> Column:
-        df, tf = F.col(f"df{k}"), F.col(f"tf{k}")
-        return F.ln(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
+        df = F.col(f"df{k}")
+        return F.ln(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5)) * tf[k] * (K1 + 1) / (tf[k] + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
 
     return rows.select(doc_id, F.round(sum((part(k) for k in range(len(terms))), F.lit(0.0)), 6).alias("score"))
 
@@ -46,12 +54,12 @@ def ranked(rows: DataFrame, score: str, key: str = "doc_id", bins: int = 256) ->
     in each bin, and what stands in the bins before is added, so no task sorts them all; a bin holds more than its share only
     where as many rows have one score and one key."""
     shares = [k / bins for k in range(1, bins)]
-    tops, keys = rows.agg(F.percentile_approx(score, shares, 100 * bins), F.percentile_approx(key, shares, 100 * bins)).first()
-    tops, keys = sorted(set(tops or [])), sorted(set(keys or []))
-    # Even numbers are scores that equal an edge, which alone may be many; only those are cut by key.
-    over = lambda value, edges: F.size(F.filter(F.lit(edges), lambda e: value > e)) if edges else F.lit(0)
-    edge = F.array_contains(F.lit(tops), F.col(score)) if tops else F.lit(False)
-    placed = rows.select(key, score, (-(2 * over(F.col(score), tops) + edge.cast("int"))).alias("bin"), F.when(edge, over(F.col(key), keys)).otherwise(0).alias("part"))
+    edges = lambda value: F.coalesce(F.array_distinct(F.percentile_approx(value, shares, 100 * bins)), F.array()).alias(f"{value}_edges")
+    edged = rows.select(key, score).crossJoin(F.broadcast(rows.agg(edges(score), edges(key))))  # one row
+    over = lambda value: F.size(F.filter(f"{value}_edges", lambda e: F.col(value) > e))
+    # Odd numbers are scores that equal an edge, which alone may be many; only those are cut by key.
+    edge = F.array_contains(f"{score}_edges", F.col(score))
+    placed = edged.select(key, score, (-(2 * over(score) + edge.cast("int"))).alias("bin"), F.when(edge, over(key)).otherwise(0).alias("part"))
     inside = F.row_number().over(Window.partitionBy("bin", "part").orderBy(F.desc(score), key))
     counts = placed.groupBy("bin", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("bin", "part").rowsBetween(Window.unboundedPreceding, -1))  # of at most a few bins squared rows

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fennmark.functions.text import tokens
+from fennmark.functions.text import let, tokens
 
 
 def keyword_route(docs: DataFrame, keywords: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, route, hits): the topic most of whose keywords occur (ties by name), else "unrouted". keywords(topic, term)
     is a short list; it is broadcast as one map, and no row is multiplied."""
-    topics = keywords.groupBy("topic").agg(F.collect_set("term").alias("terms")).agg(F.sort_array(F.collect_list(F.struct("topic", "terms"))).alias("topics"))
-    counted = docs.select(doc_id, tokens(F.col(text)).alias("w")).crossJoin(F.broadcast(topics))  # one row
-    hits = F.transform("topics", lambda t: F.struct((-F.size(F.filter("w", lambda w: F.array_contains(t["terms"], w)))).alias("minus"), t["topic"].alias("topic")))
-    best = counted.select(doc_id, F.array_min(hits).alias("best"))
+    topics = keywords.groupBy("topic").agg(F.collect_set("term").alias("terms"))
+    topics = topics.agg(F.sort_array(F.collect_list(F.struct("topic", "terms"))).alias("topics"), F.flatten(F.collect_list("terms")).alias("words"))
+    counted = docs.select(doc_id, text).crossJoin(F.broadcast(topics))  # one row
+    hits = lambda words: F.transform("topics", lambda t: F.struct((-F.size(F.filter(words, lambda w: F.array_contains(t["terms"], w)))).alias("minus"), t["topic"].alias("topic")))
+    any_word = F.filter(tokens(F.col(text)), lambda w: F.array_contains("words", w))
+    best = counted.select(doc_id, let(any_word, lambda words: F.array_min(hits(words))).alias("best"))
     none = F.coalesce("best.minus", F.lit(0)) == 0
     return best.select(doc_id, F.when(none, "unrouted").otherwise(F.col("best.topic")).alias("route"), F.coalesce(-F.col("best.minus"), F.lit(0)).cast("bigint").alias("hits"))
 

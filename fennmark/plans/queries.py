@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fennmark.functions import text as T
@@ -172,12 +172,17 @@ scores as (select doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2
 """
 
 
-BM25_SQL = bm25_sql("the", "and", "ein")
+ASKED, ASKED_NEXT = ["the", "and", "ein"], ["of", "in", "der"]
+BM25_SQL = bm25_sql(*ASKED)
+
+
+def _counts(spark: SparkSession, sf_dir: str, terms: list[str], of: Column | None = None) -> DataFrame:
+    return retrieval.term_counts(table(spark, sf_dir, "documents"), terms, work_folder(spark, "counts"), of=of)
 
 
 @query("r2_bm25", BM25_SQL + "select doc_id, score from scores")
 def r2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.bm25(table(spark, sf_dir, "documents"), ["the", "and", "ein"])
+    return retrieval.bm25(_counts(spark, sf_dir, ASKED), ASKED)
 
 
 @query(
@@ -186,7 +191,7 @@ def r2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question answered: the ten best of the good, harmless documents. A limit is what the report is."""
-    scores = retrieval.bm25(table(spark, sf_dir, "documents"), ["the", "and", "ein"])
+    scores = retrieval.bm25(_counts(spark, sf_dir, ASKED), ASKED)
     return retrieval.top_k(corpus.quality_gate(scores, table(spark, sf_dir, "labels")), 10)
 
 
@@ -203,19 +208,19 @@ def r3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "r4_rank_fusion",
-    f"""with a as ({bm25_sql("the", "and", "ein")}select doc_id, row_number() over (order by score desc, doc_id) as rank from scores),
-b as ({bm25_sql("of", "in", "der")}select doc_id, row_number() over (order by score desc, doc_id) as rank from scores)
+    f"""with a as ({bm25_sql(*ASKED)}select doc_id, row_number() over (order by score desc, doc_id) as rank from scores),
+b as ({bm25_sql(*ASKED_NEXT)}select doc_id, row_number() over (order by score desc, doc_id) as rank from scores)
 select doc_id, round(sum(1 / (60 + rank)), 9) score from (select * from a union all select * from b) group by doc_id""",
 )
 def r4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lexical rankings of two questions fused; there is no key from documents to vectors by which to fuse with r3."""
-    docs = table(spark, sf_dir, "documents")
-    return retrieval.fuse_ranks(*[retrieval.ranked(retrieval.bm25(docs, terms), "score") for terms in (["the", "and", "ein"], ["of", "in", "der"])])
+    counts = _counts(spark, sf_dir, ASKED + ASKED_NEXT)
+    return retrieval.fuse_ranks(*[retrieval.ranked(retrieval.bm25(counts, terms), "score") for terms in (ASKED, ASKED_NEXT)])
 
 
 @query("r5_filtered_retrieval", BM25_SQL + "select doc_id, score from scores join documents using (doc_id) where lang = 'de'")
 def r5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.bm25(table(spark, sf_dir, "documents"), ["the", "and", "ein"], of=F.col("lang") == "de")
+    return retrieval.bm25(_counts(spark, sf_dir, ASKED, of=F.col("lang") == "de"), ASKED)
 
 
 @query(
