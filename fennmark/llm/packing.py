@@ -127,7 +127,7 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         out, made, waiting = [], 0, {}
         for row in rows.itertuples():
             tokens, crcs = int(row.doc_tokens), row.crcs
-            doc = None if pd.isna(row.doc_id) else int(row.doc_id)
+            doc = int(row.doc_id) if row.named else None
             for k in range(tokens // capacity):
                 out.append((doc, k * capacity, capacity, int(crcs[k]), tokens, made, 0))
                 made += 1
@@ -140,12 +140,15 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 out.append((doc, start, n, crc, tokens, made, offset))
                 offset += n
             made += 1
-        found = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-        return found.assign(doc_id=found["doc_id"].astype("Int64"), sequence_id=found["sequence_id"] + (group << 40))
+        found = pd.DataFrame([row[1:] for row in out], columns=["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+        found.insert(0, "doc_id", pd.array([row[0] for row in out], dtype="Int64"))
+        return found.assign(sequence_id=found["sequence_id"] + (group << 40))
 
     # By the row's place in its file partition too, so that rows alike in all are dealt over many groups; a retried task has the same.
     dealt = tokenized(docs, doc_id, text, capacity, name).withColumn("grp", F.pmod(F.xxhash64("doc_id", "doc_tokens", "crcs", F.monotonically_increasing_id()), F.lit(groups)))
-    return dealt.groupBy("grp").applyInPandas(pack, PIECES)
+    # pandas makes whole numbers with nulls floats, which would round large ids; so null ids are marked beside.
+    marked = dealt.withColumn("named", F.col("doc_id").isNotNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
+    return marked.groupBy("grp").applyInPandas(pack, PIECES)
 
 
 def sequences(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = TOKENIZER) -> DataFrame:

@@ -60,6 +60,13 @@ def test_odd_rows(spark):
     assert packing.pack_documents(documents(spark, [])).count() == 0
 
 
+def test_large_ids_stay_whole_beside_null_ones(spark):
+    rows = [(2**62 + 1, "one"), (None, "two"), (-(2**62) - 1, "three " * 2000), (0, "four"), (None, None)]
+    pieces = packing.pack_documents(documents(spark, rows)).collect()
+    hold(pieces, [(i, ids) for (i, _), ids in zip(rows, own_ids([t for _, t in rows]), strict=True)])
+    assert {p.doc_id for p in pieces} == {i for i, _ in rows}
+
+
 def test_sequences_hold_the_ids(spark):
     docs = documents(spark, [(1, "a b c " * 900), (2, "short"), (3, None)])
     pieces = packing.pack_documents(docs)
