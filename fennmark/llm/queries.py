@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fennmark.llm import chat, decontamination, fingerprints, html_extract, linededup, packing, quality, sharding, simhash, toxicity
+from fennmark.llm import ballkmeans, chat, decontamination, fingerprints, hardnegatives, html_extract, linededup, packing, quality, sharding, simhash, toxicity
+from fennmark.llm import quality_rules as rules
 from fennmark.llm.common import table
 
 
@@ -100,10 +101,94 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _op11_sql() -> str:
+    """The counts by lists and unnesting, then the rounds one after another."""
+    spaces = "[\\x20\\x09-\\x0D]"
+    stops = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
+    counted = lambda kind: f"length(t) - length(regexp_replace(t, '{kind}', '', 'g'))"
+    names = list(rules.RULES)
+    log_odds = "ln(share / (1 - share))" + "".join(f" + case vote_{c} when -1 then ln(g_{c}_0 / b_{c}_0) when 1 then ln(g_{c}_2 / b_{c}_2) else ln(g_{c}_1 / b_{c}_1) end" for c in names)
+    lean = {"g": rules.LEAN, "b": rules.LEAN[::-1]}
+
+    def model(good: str, source: str) -> str:
+        part = lambda c, name, v: f"greatest(round((coalesce(sum({c}) filter (vote_{name} = {v - 1}), 0) + {rules.PSEUDO * lean[c][v]}) / (coalesce(sum({c}), 0) + {rules.PSEUDO}), 6), 1e-6) {c}_{name}_{v}"
+        shares = ", ".join(part(c, name, v) for name in names for v in range(3) for c in "gb")
+        return f"(select round((coalesce(sum(g), 0) + {rules.PSEUDO}) / (coalesce(sum(g), 0) + coalesce(sum(b), 0) + {2 * rules.PSEUDO}), 6) share, {shares} from (select *, n * good g, n * (1 - good) b from (select p.*, {good} good from {source})))"
+
+    first = "case when " + " and ".join(f"vote_{c} >= 0" for c in names) + " then 0.9 else 0.1 end"
+    steps = [f"m0 as materialized {model(first, 'p')}"]
+    steps += [f"m{k} as materialized {model(f'1 / (1 + exp(-({log_odds})))', f'p, m{k - 1}')}" for k in range(1, rules.ROUNDS + 1)]
+    votes = ", ".join(f"case when {bad} then -1 when {good} then 1 else 0 end vote_{name}" for name, (bad, good) in rules.RULES.items())
+    return f"""
+with t as materialized (select row_number() over () rid, doc_id, coalesce(text, '') t from documents),
+w as materialized (select rid, list_filter(string_split_regex(t, '{spaces}+'), lambda x: x <> '') w from t),
+win as (select rid, i, array_to_string(w[i:i + 4], ' ') k from (select rid, w, unnest(range(1, len(w) - 3)) i from w)),
+twice as (select rid, i from win qualify count(*) over (partition by rid, k) > 1),
+rep as (select rid, count(distinct i + j) n_repeat_words from twice, range(5) o(j) group by rid),
+ln as (select rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) l from t),
+c as (select rid, doc_id, len(w) n_words, length(regexp_replace(t, '{spaces}', '', 'g')) word_chars, {counted("[#*$%&|<>]")} n_symbols, len(l) n_lines, len(l) - len(list_distinct(l)) n_dup_lines,
+  coalesce(n_repeat_words, 0) n_repeat_words, len(list_distinct(w)) n_distinct, len(list_filter(w, lambda x: x in ({stops}))) n_stops, len(regexp_extract_all(t, '!!')) n_shouts, {counted("[A-Z]")} n_capitals
+  from t join w using (rid) join ln using (rid) left join rep using (rid)),
+v as materialized (select *, {votes}, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed from c),
+p as materialized (select {", ".join(f"vote_{c}" for c in names)}, count(*) n from v group by all),
+{", ".join(steps)}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {log_odds} >= 0 kept from v, m{rules.ROUNDS}
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine_hard_negatives(hardnegatives.whole_rows(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+with e as materialized (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as materialized (select a.vec_id anchor_id, a.label = b.label same, b.vec_id, cast(list_dot_product(a.v, b.v) as bigint) score from e a, e b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id positive_id, score positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as rank, vec_id negative_id, positive_score, score negative_score
+from p join s using (anchor_id) where not same and 80 * positive_score <= 100 * score and score <= positive_score qualify rank <= 5
+"""
+
+
+def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ballkmeans.whole_vectors(table(spark, sf_dir, "embeddings"), dims=64)
+    seeds = F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")), 256)
+    return ballkmeans.described(*ballkmeans.ball_kmeans(rows, k=40, rounds=5, order=seeds))
+
+
+def _op13_sql() -> str:
+    """Lloyd's rounds by comparison with all centroids."""
+    distance = "cast(list_dot_product(e.v, e.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(e.v, c.v) as bigint)"
+    assigned = lambda k: f"a{k} as materialized (select rid, any_value(vec_id) vec_id, any_value(v) v, min(d) distance, arg_min(c, (d, c)) as cluster from (select e.*, c.c, {distance} d from e, c{k} c) group by rid)"
+    moved = lambda k: f"""s{k} as (select cluster, i, floor(sum(x) / count(*)) m from (select cluster, unnest(v) x, generate_subscripts(v, 1) i from a{k}) group by cluster, i),
+c{k + 1} as materialized (select c, coalesce(w, v) v from c{k} left join (select cluster, list(m order by i) w from s{k} group by cluster) on cluster = c)"""
+    steps = ",\n".join(f"{assigned(k)},\n{moved(k)}" for k in range(5))
+    return f"""
+with e as materialized (
+  select row_number() over () rid, vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+c0 as materialized (select row_number() over (order by sha256('2:' || vec_id) nulls last, v) - 1 c, v from e qualify c < 40),
+{steps},
+{assigned(5)}
+select vec_id, cast(cluster as int) as cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) cluster_inertia, cast(sum(distance) over () as bigint) inertia,
+  sha256(array_to_string(list_transform(c5.v, lambda x: cast(cast(x as bigint) as varchar)), ',')) centroid_sha256
+from a5 join c5 on c = cluster
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_chat_format, op2_fingerprints, op3_packing, op4_quality, op5_toxicity, op6_sharding, op7_decontamination, op8_html, op9_line_dedup, op10_simhash)
+    found = (op1_chat_format, op2_fingerprints, op3_packing, op4_quality, op5_toxicity, op6_sharding, op7_decontamination, op8_html, op9_line_dedup, op10_simhash, op11_quality_rules, op12_hard_negatives, op13_ball_kmeans)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL}
+    return {"op1_chat_format": OP1_SQL, "op11_quality_rules": _op11_sql(), "op12_hard_negatives": OP12_SQL, "op13_ball_kmeans": _op13_sql()}
