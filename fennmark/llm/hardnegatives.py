@@ -190,8 +190,8 @@ def search(keys: DistanceKeys, asked: DataFrame, k: int, same_label: bool, block
             for r in batch.to_pylist():
                 anchor, label, floor, high = (np.frombuffer(r[c], dtype=np.int64) for c in ("anchor_id", "label", "floor", "high"))
                 slot, ids, labels = np.frombuffer(r["slot"], dtype=np.int32), np.frombuffer(r["ids"], dtype=np.int64), np.frombuffer(r["labels"], dtype=np.int64)
-                points, queries = (np.frombuffer(r[c], dtype=dtype).reshape(-1, dims).astype(np.float64) for c in ("c_v", "v"))
-                scores = (queries @ points.T).astype(np.int64) if dims else np.zeros((len(anchor), len(ids)), np.int64)
+                points, queries = (np.frombuffer(r[c], dtype=dtype).reshape(n, dims).astype(np.float64) for c, n in (("c_v", len(ids)), ("v", len(anchor))))
+                scores = (queries @ points.T).astype(np.int64)
                 fits = (scores >= floor[:, None]) & (scores <= high[:, None]) & (anchor[:, None] != ids[None, :]) & ((label[:, None] == labels[None, :]) == same_label)
                 q, c = np.nonzero(fits)
                 order = np.lexsort((ids[c], -scores[q, c], q))
