@@ -6,8 +6,9 @@ sum and a steadying constant; beside it stands by how much the text compresses b
 repetition looks alike to both dictionaries. Platt scaling on labelled texts that the dictionaries have not seen makes the
 two a probability of being good.
 
-Learning reads a sample of at most `per_class` labelled texts of each class, the ones of least hash, as far as they add up to
-`sample_chars` characters; scoring reads every whole text. Labels, language, source and id are no inputs of a score, only
+Learning reads a sample of at most `per_class` labelled texts of each class, the ones of least hash, whole texts that fit into
+`sample_chars` characters together (a longer one is left out by itself); of the two classes' texts for the dictionaries as
+many characters are used as the smaller class has, so that neither dictionary is better for its size. Scoring reads every whole text. Labels, language, source and id are no inputs of a score, only
 the text is.
 
 Defined results: a null text is empty; a very long text is compressed block by block; repeated rows and ties are each scored
@@ -19,12 +20,13 @@ score is the share of good labels (0.5 without labels); further columns are igno
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fennmark.llm.common import whole
@@ -131,17 +133,25 @@ def platt(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, ...]:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column | None, per_class: int, sample_chars: int = SAMPLE_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, y): labelled rows of each class by least hash of the id, whole texts of any length, up to per_class rows
-    and as far as their texts add up to sample_chars; so what the driver reads is bounded. `learn` says of an id whether its
-    label may be learnt from. Of several texts of one id the one of least hash counts."""
+    """(doc_id, text, y): labelled rows of each class by least hash of the id, up to per_class rows. In that order each whole text
+    is taken that fits into what is left of the class's sample_chars; one that does not fit is left out by itself, and those
+    behind it still count. So what the driver reads is bounded. A class of which no text fits gives a warning. `learn` says
+    of an id whether its label may be learnt from. Of several texts of one id the one of least hash counts."""
     ids = labels.groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     ids = ids if learn is None else ids.filter(learn)
     chosen = [ids.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    sizes = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct("h", F.length("text").alias("n"))).alias("t"))
-    so_far = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    kept = sizes.withColumn("so_far", F.sum(F.col("t.n").cast("long")).over(so_far)).filter(F.col("so_far") <= sample_chars).select("doc_id", "y", F.col("t.h").alias("h"))
-    return rows.join(F.broadcast(kept), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "y")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
+    rows = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").withColumn("h", F.xxhash64("text"))  # at most 2 per_class rows
+    sizes = rows.groupBy("doc_id", "y").agg(F.min(F.struct("h", F.length("text").alias("n"))).alias("t")).orderBy("y", F.xxhash64("doc_id"), "doc_id").collect()
+    kept, left = [], {0: sample_chars, 1: sample_chars}
+    for r in sizes:
+        if r["t"]["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["t"]["n"]
+            kept.append((r["doc_id"], r["t"]["h"]))
+    for y in {r["y"] for r in sizes} - {r["y"] for r in sizes if (r["doc_id"], r["t"]["h"]) in set(kept)}:
+        warnings.warn(f"no labelled text of {label} = {y} fits in {sample_chars} characters; nothing is learnt of this class", stacklevel=2)
+    picked = docs.sparkSession.createDataFrame(kept, "doc_id long, h long")
+    return rows.join(F.broadcast(picked), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "y")
 
 
 def learnable(doc_id: str = "doc_id", parts: int = 3, held_out: int = 1) -> Column:

@@ -5,8 +5,8 @@ dimension starts as the z-score of a word's document frequency among toxic texts
 vector is the sum of its own and of its first five letters', for inflected words. Words and beginnings seen in fewer than `LEAST_DOCS` training texts have a zero vector, so rare words cannot be learnt by heart. The logit becomes a
 score by a scale and a threshold of greatest F1 for each language; the language is guessed from the text's own function words.
 
-Learning reads at most `per_class` labelled texts of each class, the ones of least hash, as far as they add up to
-`sample_chars` characters; scoring reads every whole text.
+Learning reads at most `per_class` labelled texts of each class, the ones of least hash, whole texts that fit into `sample_chars`
+characters together (a longer one is left out by itself); scoring reads every whole text.
 Labels, language, source and id are no inputs of a score. For scoring, each filter is folded into a table of its
 embeddings, so that a window costs a few look-ups.
 

@@ -77,3 +77,24 @@ def test_keep_good_keeps_columns_and_rejects(spark):
     assert kept.columns == documents(spark).columns
     scores = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
     assert {r.doc_id for r in quality.keep_good(docs, model).collect()} == {d for d, s in scores.items() if s >= 0.5}
+
+
+@pytest.mark.parametrize(("fit", "score", "label"), [(quality.fit_quality, quality.score_quality, "quality"), (toxicity.fit_toxicity, toxicity.score_toxicity, "toxic")])
+def test_a_text_that_does_not_fit_is_left_out_alone(spark, fit, score, label):
+    folder = SF.replace("sf0.001", "sf0.01")
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels").select("doc_id", label)
+    sizes, cap = docs.agg(F.max(F.length("text")), F.sum(F.length("text"))).first()
+    first = [r.id for r in spark.range(10**6, 10**6 + 5000).orderBy(F.xxhash64("id")).limit(2).collect()]  # before all others
+    long = spark.createDataFrame([(i, "wort " * (cap // 5 + 1)) for i in first], "doc_id long, text string")
+    odd = labels.unionByName(spark.createDataFrame([(i, y) for y, i in enumerate(first)], f"doc_id long, {label} int"))
+    usual = {r.doc_id: r.score for r in score(docs, fit(docs, labels, sample_chars=cap)).collect()}
+    assert usual == {r.doc_id: r.score for r in score(docs, fit(docs.unionByName(long), odd, sample_chars=cap)).collect()}
+    assert len(set(usual.values())) > 100
+
+
+def test_a_class_that_does_not_fit_is_reported(spark):
+    docs = spark.createDataFrame([(k, "ab " * (400 if k < 5 else 2)) for k in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 5)) for k in range(20)], "doc_id long, quality int")
+    with pytest.warns(UserWarning, match="quality = 1"):
+        rows = quality.sample_labelled(docs, labels, "quality", None, 100, sample_chars=1000).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(5, 20))
