@@ -34,6 +34,13 @@ def han_bigrams(text: Column) -> Column:
     return F.flatten(pairs)
 
 
+def mixed_tokens(text: Column) -> Column:
+    """Tokens of text that changes between scripts: a run of Han characters as its bigrams, any other run of letters and digits
+    as a lower-case word. A run ends where the script does, so words that stand in Chinese text unspaced are words too."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(r"([\x{4E00}-\x{9FFF}]+|[\p{L}\p{N}&&[^\x{4E00}-\x{9FFF}]]+)"), 1)
+    return F.flatten(F.transform(runs, lambda r: F.when(r.rlike(r"^[\x{4E00}-\x{9FFF}]"), han_bigrams(r)).otherwise(F.array(r))))
+
+
 def html_to_text(html: Column) -> Column:
     """Markup, scripts, styles and comments as spaces; white space runs as one space."""
     bare = F.regexp_replace(html, r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->", " ")

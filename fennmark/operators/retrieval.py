@@ -1,4 +1,4 @@
-"""Lexical and vector retrieval, rank fusion and context under a budget."""
+"""Ranks, vector retrieval, rank fusion and context under a budget. Lexical retrieval is in postings.py."""
 
 from __future__ import annotations
 
@@ -6,48 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fennmark.functions.text import let, tokens
-
-K1, B = 1.2, 0.75
-
-
-def inverted_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(term, df, tf): documents and occurrences of each term. A document's words are sorted in its row, where the first of
-    each stands out, so only counts by term are shuffled."""
-    words = docs.select(F.sort_array(tokens(F.col(text))).alias("w"))
-    marked = F.transform("w", lambda x, k: F.struct(x.alias("term"), F.coalesce(F.get("w", k - 1) != x, F.lit(True)).cast("bigint").alias("first")))
-    return words.select(F.inline(marked)).groupBy("term").agg(F.sum("first").alias("df"), F.count("*").alias("tf"))
-
-
-def term_counts(docs: DataFrame, terms: list[str], folder: str, doc_id: str = "doc_id", text: str = "text", of: Column | None = None) -> DataFrame:
-    """(doc_id, length, of, tf_<term>...) of every document: its words and the occurrences of each term; `of` marks those to
-    score. A few numbers a document, written to `folder`, so that what reads them often cuts each text into words once."""
-
-    def times(words: Column, term: str) -> Column:
-        return F.size(F.filter(words, lambda w: w == term)).alias(f"tf_{term}")
-
-    count = lambda words: F.struct(F.size(words).alias("length"), *[times(words, t) for t in terms])
-    marked = F.coalesce(F.lit(True) if of is None else of, F.lit(False)).alias("of")
-    docs.select(doc_id, marked, let(F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")), count).alias("n")).select(doc_id, "of", "n.*").write.parquet(folder)
-    return docs.sparkSession.read.parquet(folder)
-
-
-def bm25(counts: DataFrame, terms: list[str], doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, score) of every document of term_counts() that is marked and has one of the terms; the statistics, one row,
-    cover all documents. A document is scored in its row, so nothing but the statistics is shuffled."""
-    tf = [F.col(f"`tf_{t}`") for t in terms]
-    corpus = counts.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"), *[F.count_if(n > 0).alias(f"df{k}") for k, n in enumerate(tf)])
-    rows = counts.filter("of").filter(sum(tf, F.lit(0)) > 0).crossJoin(F.broadcast(corpus))  # one row
-
-    def part(k: int) -> Column:
-        df = F.col(f"df{k}")
-        return F.ln(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5)) * tf[k] * (K1 + 1) / (tf[k] + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
-
-    return rows.select(doc_id, F.round(sum((part(k) for k in range(len(terms))), F.lit(0.0)), 6).alias("score"))
-
 
 def ranked(rows: DataFrame, score: str, key: str = "doc_id", bins: int = 256) -> DataFrame:
     """(key, rank) by falling score, ties by key. Rows are dealt into bins by quantiles of the score, then of the key, numbered
