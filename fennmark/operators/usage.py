@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,14 @@ def property_totals(events: DataFrame, name: str = "k") -> DataFrame:
     """(event_type, events, total): a numeric property of the JSON column props, added up; what is no number counts as none."""
     value = F.get_json_object("props", f"$.{name}").try_cast("bigint")
     return events.groupBy("event_type").agg(F.count(value).alias("events"), F.sum(value).cast("bigint").alias("total"))
+
+
+def distinct_sketches(events: DataFrame, by: Column, *keys: str, of: str = "user_id", lg_k: int = 12) -> DataFrame:
+    """(by, keys..., sketch): a HyperLogLog sketch of the distinct values, a few kilobytes whatever their number. Null values do
+    not count; a group of nulls alone has an empty sketch."""
+    return events.groupBy(by.alias("by"), *keys).agg(F.hll_sketch_agg(of, lg_k).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, by: Column, *keys: str) -> DataFrame:
+    """(by, keys..., estimate): the distinct values of coarser groups from the sketches of finer ones, without the rows."""
+    return sketches.groupBy(by.alias("by"), *keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fennmark.functions import text as T
-from fennmark.operators import catalogue, corpus, dialogue, postings, retrieval, routing, usage
+from fennmark.operators import catalogue, corpus, dialogue, postings, retrieval, routing, temporal, usage
 from fennmark.plans import samples
 from fennmark.session import table, work_folder
 from fennmark.sources import catalogue as reader
@@ -381,6 +381,54 @@ def u4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.property_totals(table(spark, sf_dir, "events"))
 
 
+@query(
+    "u5_trailing_week",
+    "select event_id, user_id, ts, count(*) over w n, round(sum(value) over w, 2) total from events window w as (partition by user_id order by ts range between interval 7 days preceding and current row)",
+)
+def u5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a user did in the week up to each event, by a frame of time."""
+    week = temporal.trailing_counts(table(spark, sf_dir, "events"), "user_id", "ts", 7 * 86_400, "value", "event_id")
+    return week.select("event_id", "user_id", "ts", "n", F.round("total", 2).alias("total"))
+
+
+@query("u6_weekly_distinct", "select cast(date_trunc('week', ts) as date) as week, event_type, count(distinct user_id) users, true as within_bound from events group by all")
+def u6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users a week by merging the sketches of days, and whether that is within 5 % of the exact count."""
+    events = table(spark, sf_dir, "events")
+    days = usage.distinct_sketches(events, F.to_date("ts"), "event_type")
+    weeks = usage.merged_distinct(days, F.trunc("by", "week"), "event_type").withColumnRenamed("by", "week")
+    exact = events.groupBy(F.trunc(F.to_date("ts"), "week").alias("week"), "event_type").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1), 0.05 * F.col("users"))
+    return exact.join(weeks, ["week", "event_type"], "left").select("week", "event_type", "users", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
+@query(
+    "j1_as_of",
+    """with p as (select event_id, user_id, ts from events where event_type = 'purchase'), v as (select event_id last_event_id, user_id, ts last_ts, value last_value from events where event_type = 'view')
+select p.*, last_ts, last_event_id, last_value from p left join v on p.user_id = v.user_id and last_ts <= ts qualify row_number() over (partition by event_id order by last_ts desc, last_event_id desc) = 1""",
+)
+def j1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's latest view before it."""
+    events = table(spark, sf_dir, "events")
+    bought, seen = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"), events.filter("event_type = 'view'")
+    return temporal.as_of_join(bought, seen, "user_id", "ts", "event_id", ["event_id", "value"])
+
+
+@query(
+    "j2_interval",
+    """with m as (select user_id, ts, case when ts - lag(ts) over w <= interval 30 minutes then 0 else 1 end opens from events window w as (partition by user_id order by ts)),
+k as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) k from m), s as (select user_id other, min(ts) a, max(ts) + interval 30 minutes b from k group by user_id, k)
+select event_id, count(*) sessions, min(a) earliest from events join s on ts between a and b and user_id <> other where event_type = 'error' group by event_id""",
+)
+def j2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each error, how many sessions of other users were open, half an hour past their last event included."""
+    events = table(spark, sf_dir, "events")
+    spans = usage.sessions(events).select(F.col("user_id").alias("other"), F.col("session_start").alias("a"), (F.col("last_event") + F.expr("interval 30 minutes")).alias("b"))
+    errors = events.filter("event_type = 'error'").select("event_id", "user_id", "ts")
+    pairs = temporal.interval_join(errors, spans, "ts", "a", "b", bin_seconds=3600, on=F.col("user_id") != F.col("other"))
+    return pairs.groupBy("event_id").agg(F.count("*").alias("sessions"), F.min("a").alias("earliest"))
+
+
 @query("st1_stream_dedup", "select distinct event_id, user_id, event_type from events")
 def st1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event comes twice, as from a source that delivers at least once."""
