@@ -13,6 +13,7 @@ from fennmark.plans import samples
 from fennmark.session import table, work_folder
 from fennmark.sources import catalogue as reader
 from fennmark.streaming import events as streams
+from fennmark.streaming import stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -447,3 +448,64 @@ def st2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st3(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = streams.event_stream(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
     return streams.upsert_latest(spark, stream, "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
+
+
+ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+@query("st4_stream_funnel", SQL["u3_funnel"])
+def st4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel of u3 from keyed state, over three deliveries with a restart after each."""
+    events = _timed(spark, sf_dir).select("user_id", "event_type", "ts")
+    rows = streams.run_in_steps(spark, streams.in_steps(events, "ts", 3), lambda stream: stateful.funnel_stream(stream, "view", "purchase"), "st4", **ROCKS)
+    return stateful.funnel_totals(rows)
+
+
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+#: Deliveries by equal parts of time; every 50th event comes one delivery late, and a day behind the latest event is the watermark.
+DELIVERED_SQL = """with e as (select *, epoch_us(ts) us from events), b as (select min(us) low, max(us) - min(us) + 1 width from e),
+d as (select e.*, (us - low) // ((width + 3) // 4) + case when event_id % 50 = 0 then 1 else 0 end as delivery from e, b),
+m as (select k.delivery, max(us) // 1000 - 86400000 as mark from d, (select distinct delivery from d) k where d.delivery < k.delivery group by k.delivery),
+last as (select max(us) // 1000 - 86400000 as mark from d),
+"""
+
+
+def _late_sql(slide_hours: int) -> str:
+    return f"""{DELIVERED_SQL}w as (select d.*, time_bucket(interval {slide_hours} hours, ts, timestamp '1970-01-01') - to_hours(cast(k * {slide_hours} as bigint)) as start from d, range({24 // slide_hours}) r(k)),
+c as (select start, count(*) filter (coalesce(epoch_ms(start) + 86400000 > m.mark, true)) events, count(*) n from w left join m using (delivery) group by start)
+select start, events, n - events as late from c, last where epoch_ms(start) + 86400000 <= mark and events > 0"""
+
+
+@query("st5_late_tumbling", _late_sql(24))
+def st5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events a day where some are delivered late, and how many came after their day was closed."""
+    return _late(spark, sf_dir, "1 day", None)
+
+
+@query("st5_late_sliding", _late_sql(6))
+def st5_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by days that begin every six hours."""
+    return _late(spark, sf_dir, "1 day", "6 hours")
+
+
+def _late(spark: SparkSession, sf_dir: str, width: str, slide: str | None) -> DataFrame:
+    events = _timed(spark, sf_dir).select("event_id", "ts")
+    steps = streams.in_steps(events, "ts", 4, F.col("event_id") % 50 == 0)
+    counted = streams.run_in_steps(spark, steps, lambda stream: streams.window_counts(stream, width, slide), "st5")
+    return streams.with_late(counted, events, width, slide).select(F.col("start").cast("timestamp_ntz"), "events", "late")
+
+
+@query(
+    "st6_stream_sessions",
+    """with m as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minutes then 0 else 1 end opens from events window w as (partition by user_id order by ts)),
+s as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) k from m)
+select user_id, min(ts) session_start, max(ts) + interval 30 minutes session_end, count(*) events from s group by user_id, k having epoch_us(max(ts)) + 1800000000 <= (select (max(epoch_us(ts)) // 1000 - 3600000) * 1000 from events)""",
+)
+def st6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users' sessions that a stream has closed, over three deliveries; sessions go on from one to the next."""
+    steps = streams.in_steps(_timed(spark, sf_dir).select("user_id", "ts"), "ts", 3)
+    closed = streams.run_in_steps(spark, steps, streams.session_counts, "st6")
+    return closed.select("user_id", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "events")
