@@ -12,6 +12,7 @@ from fennmark.operators import catalogue, corpus, dialogue, postings, retrieval,
 from fennmark.plans import samples
 from fennmark.session import table, work_folder
 from fennmark.sources import catalogue as reader
+from fennmark.sources import typed
 from fennmark.streaming import events as streams
 from fennmark.streaming import stateful
 
@@ -500,7 +501,7 @@ def _late(spark: SparkSession, sf_dir: str, width: str, slide: str | None) -> Da
 
 @query(
     "st6_stream_sessions",
-    """with m as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minutes then 0 else 1 end opens from events window w as (partition by user_id order by ts)),
+    """with m as (select user_id, ts, case when ts - lag(ts) over w <= interval 30 minutes then 0 else 1 end opens from events window w as (partition by user_id order by ts)),
 s as (select *, sum(opens) over (partition by user_id order by ts rows unbounded preceding) k from m)
 select user_id, min(ts) session_start, max(ts) + interval 30 minutes session_end, count(*) events from s group by user_id, k having epoch_us(max(ts)) + 1800000000 <= (select (max(epoch_us(ts)) // 1000 - 3600000) * 1000 from events)""",
 )
@@ -509,3 +510,39 @@ def st6(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = streams.in_steps(_timed(spark, sf_dir).select("user_id", "ts"), "ts", 3)
     closed = streams.run_in_steps(spark, steps, streams.session_counts, "st6")
     return closed.select("user_id", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "events")
+
+
+EVENT = "event_id long, user_id long, event_type string, value double"
+
+
+@query(
+    "src1_json_bad_rows",
+    """select cast(ts as date) as day, count(*) filter (event_id % 97 <> 0 and event_id % 101 <> 0) good, count(*) filter (event_id % 97 = 0 or event_id % 101 = 0) bad,
+sum(user_id) filter (event_id % 97 <> 0 and event_id % 101 <> 0)::bigint users, count(distinct event_type) filter (event_id % 97 <> 0 and event_id % 101 <> 0) kinds from events group by 1""",
+)
+def src1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines in a folder a day, some with text for a number and some cut off, read by a declared schema."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    value = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    wrong = F.to_json(F.struct("event_id", "user_id", "event_type", value.alias("value")))
+    line = F.when(F.col("event_id") % 101 == 0, F.left(line, F.lit(20))).when(F.col("event_id") % 97 == 0, wrong).otherwise(line)
+    folder = typed.write_partitioned(events.select(line.alias("line"), "day"), "text", "src1", "day")
+    rows = typed.read_typed(spark, folder, "json", EVENT, "day date")
+    good = typed.fitting(rows).groupBy("day").agg(F.count("*").alias("good"), F.sum("user_id").alias("users"), F.count_distinct("event_type").alias("kinds"))
+    bad = typed.misfits(rows, "day").groupBy("day").agg(F.count("*").alias("bad"))
+    return good.join(bad, "day", "full").select("day", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("bad", F.lit(0)).alias("bad"), "users", F.coalesce("kinds", F.lit(0)).alias("kinds"))
+
+
+@query(
+    "src2_csv_pruned",
+    "select cast(ts as date) as day, event_type, count(*) events, max(value) most from events where event_id % 97 <> 0 and ts >= (select max(ts)::date - 6 from events) group by 1, 2",
+)
+def src2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of events as CSV in a folder a day, some with text for a number: the last seven days, from their folders alone."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    value = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    folder = typed.write_partitioned(events.select("event_id", "user_id", "event_type", value.alias("value"), "day"), "csv", "src2", "day", header="true")
+    last = events.agg(F.max("day")).first()[0]
+    rows = typed.read_typed(spark, folder, "csv", EVENT, "day date", header="true").filter(F.col("day") >= F.date_sub(F.lit(last), 6))
+    return typed.fitting(rows).groupBy("day", "event_type").agg(F.count("*").alias("events"), F.max("value").alias("most"))

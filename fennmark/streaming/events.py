@@ -77,7 +77,7 @@ def with_late(counted: DataFrame, rows: DataFrame, width: str, slide: str | None
 
 
 def session_counts(stream: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
-    """(user_id, session_start, session_end, events) of the sessions that the watermark has closed."""
+    """(user_id, session_start, session_end, events) of the sessions that the watermark has closed. Events up to the gap apart are one."""
     by = stream.withWatermark("ts", delay).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("events"))
     return by.select("user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "events")
 
