@@ -1,16 +1,18 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. First pass, each block by itself: blocks in menus, headers, footers,
-sidebars, notices, adverts, forms, comments and the like are bad; so are blocks that are mostly link text. The page's
-article element is a prior: inside it other blocks are good, but short ones stay open, as does a short link that stands
-alone (a linked title). Elsewhere, on pages with an article too, length and stop-word density decide, and short blocks stay
-open. Second pass: an open block takes the label that its nearest decided neighbours share, the nearer one's where they
-differ, good where they are equally near. Open blocks inside an article look at its other blocks only, dropped ones aside,
-and are good where none is decided; those outside do not look into the article.
+A page is cut into blocks at block-level tags. First pass, each block by itself: blocks that are mostly link text are bad; so are
+those in menus, headers, footers, sidebars, notices, adverts, forms, comments and the like, also where these hold an article
+element of their own. For other blocks length and stop-word density decide, and short ones stay open, as do long ones of few
+stop words without links (tables, code, other languages). The page's article element is a prior: inside it a lower density is
+enough, and names that a text may have itself (a section `discussion`, a `post-header`) do not count. Inside it a short link that
+stands alone (a linked title) is open too. Second pass: an open block takes the label that its nearest decided neighbours share, the nearer one's where they
+differ, good where they are equally near. Blocks dropped by their place are no neighbours, as what surrounds a text says nothing of
+it. Open blocks inside an article look at its other blocks only and are good where none is decided; those outside do not look
+into the article. A page with neither an article nor a good block has its long open blocks as good ones.
 
 Defined results: a null or empty html, or one without good blocks, gives the empty text; a very long page is one row like any
 other; repeated rows and ties are each extracted alike; an empty table gives an empty table; blocks keep page order and repeats;
-unclosed and stray tags are tolerated (an article opens afresh whatever was left open); further columns are ignored.
+unclosed and stray tags are tolerated (an article opens afresh what was opened before it and is never closed); further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ DROPPED_TAGS = frozenset("nav footer aside form menu button select textarea labe
 NAMES = frozenset(
     "ad ads advert advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies discussion disqus dialog footer form header login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar widget".split()
 )
+#: Of these, the names that parts of an article bear too.
+OWN_NAMES = frozenset("discussion form header reply response respond search share sharing skip social".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 STOP_WORDS = frozenset(
@@ -47,7 +51,8 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
-SHORT, LONG, LINKS, STOPS_LOW, STOPS_HIGH = 70, 200, 0.5, 0.15, 0.3
+#: Lengths in characters; shares of link text and of stop words; STOPS_INSIDE: what is enough in an article.
+SHORT, LONG, LINKS, STOPS_LOW, STOPS_HIGH, STOPS_INSIDE = 70, 200, 0.5, 0.15, 0.3, 0.1
 GOOD, BAD, OPEN = 1, 0, -1
 
 
@@ -59,17 +64,34 @@ def _dropped(tag: str, attrs: str, in_article: bool) -> bool:
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
-            if name in ("class", "id") and not NAMES.isdisjoint(SPLIT_NAME.split(value)):
+            if name in ("class", "id") and not (NAMES - OWN_NAMES if in_article else NAMES).isdisjoint(SPLIT_NAME.split(value)):
                 return True
     elif attrs and tag == "article":  # readers' comments are often marked up as articles
         return any(name.lower() in ("class", "id") and not {"comment", "comments", "reply"}.isdisjoint(SPLIT_NAME.split(value.lower())) for name, value in ATTRIBUTE.findall(attrs))
     return False
 
 
+def _closed(marks: list[re.Match[str]]) -> set[int]:
+    """Which marks open containers that are closed by a tag of their own."""
+    out, stack = set(), []
+    for k, m in enumerate(marks):
+        tag = (m["tag"] or "").lower()
+        if tag and (tag in BLOCK_TAGS or tag in DROPPED_TAGS) and tag not in VOID_TAGS:
+            if not m["close"]:
+                stack.append((tag, k))
+            elif any(s[0] == tag for s in stack):
+                while stack[-1][0] != tag:
+                    stack.pop()
+                out.add(stack.pop()[1])
+    return out
+
+
 def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters of link text, dropped by its place, inside an article) of each block that has text."""
     out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: tag, dropped, article
+    stack: list[tuple[str, bool, bool, bool]] = []  # open containers: tag, dropped, article, closed later
+    marks = list(MARKUP.finditer(page))
+    closed = _closed(marks)
     parts: list[str] = []
     links, linked, own_drop, at = 0, 0, False, 0
 
@@ -89,7 +111,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
         if links:
             linked += len(text.strip())
 
-    for m in MARKUP.finditer(page):
+    for k, m in enumerate(marks):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
@@ -113,30 +135,34 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
                 drop = _dropped(tag, m["attrs"], in_article)
                 own_drop = False
                 if tag in ("article", "main") and not drop and not in_article:
-                    stack = [s for s in stack if not s[1]]
-                    stack.append((tag, False, True))
+                    stack = [s for s in stack if not s[1] or s[3]]
+                    stack.append((tag, False, True, k in closed))
                 elif tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option", "h1", "h2", "h3", "h4", "h5", "h6"):
                     own_drop = drop
                 elif tag not in VOID_TAGS:
-                    stack.append((tag, drop, False))
+                    stack.append((tag, drop, False, k in closed))
     if at < len(page):
         add(page[at:])
     flush()
     return out
 
 
+def stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / max(1, len(words))
+
+
 def first_pass(text: str, linked: int, dropped: bool, in_article: bool) -> int:
-    if dropped or linked > LINKS * len(text):
+    if linked > LINKS * len(text) or dropped:
         return BAD
     if len(text) < SHORT:
         return OPEN
+    stops = stop_share(text)
     if in_article:
-        return GOOD
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+        return GOOD if stops >= STOPS_INSIDE else OPEN
     if stops >= STOPS_HIGH or len(text) >= LONG and stops >= STOPS_LOW:
         return GOOD
-    return OPEN if stops >= STOPS_LOW or linked == 0 and len(text) < LONG else BAD
+    return OPEN if stops >= STOPS_LOW or not linked else BAD
 
 
 def second_pass(labels: list[int]) -> list[int]:
@@ -164,13 +190,21 @@ def article_labels(found: list[tuple[str, int, bool, bool]]) -> list[int]:
     return second_pass(labels) if any(x != OPEN for x in labels) else [GOOD] * len(labels)
 
 
+def outside_labels(found: list[tuple[str, int, bool, bool]], alone: bool) -> list[int]:
+    """Labels of the blocks outside articles, none of them dropped by its place; alone: the page has no article."""
+    labels = [first_pass(*b) for b in found]
+    if alone and GOOD not in labels:  # a page without any prose: its long blocks are what it has to say
+        labels = [GOOD if x == OPEN and len(b[0]) >= LONG else x for x, b in zip(labels, found, strict=True)]
+    return second_pass(labels)
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     inside = [k for k, b in enumerate(found) if b[3] and not b[2]]
-    outside = [k for k, b in enumerate(found) if not b[3] or b[2]]
+    outside = [k for k, b in enumerate(found) if not b[3] and not b[2]]
     labels = dict(zip(inside, article_labels([found[k] for k in inside]), strict=True))
-    labels |= dict(zip(outside, second_pass([first_pass(*found[k]) for k in outside]), strict=True))
-    return "\n\n".join(b[0] for k, b in enumerate(found) if labels[k] == GOOD)
+    labels |= dict(zip(outside, outside_labels([found[k] for k in outside], not inside), strict=True))
+    return "\n\n".join(b[0] for k, b in enumerate(found) if labels.get(k) == GOOD)
 
 
 def extract(page: Column) -> Column:
