@@ -8,8 +8,11 @@ scores the threshold or more is verified: of the item's question and of its answ
 shingles must stand in the window; or else, as one altered word breaks five shingles, each at least `overlap` of the words
 in order (one word may differ in parts of three to five words), by edit distance, the answer next to the question. Texts never leave their task; only found pairs, or kept rows, come out.
 
-The index is built from the test items on the driver (a stated, small set; more than MOST_ITEMS or MOST_CHARS is an error); items are indexed in blocks of at most `block_items`, each
-block against all documents, so that the index in a task has a bounded size. BM25 statistics cover all items.
+The index is built from the test items on the driver (a stated, small set; more than MOST_ITEMS or MOST_CHARS is an error); items
+are indexed in blocks of at most `block_items` items and `block_words` words (an item of more is a block by itself), each block
+against all documents, so that the index in a task has a bounded size. Block maxima are kept for the terms of a block alone. Items
+of a block are at most WIDEST times as long as the shortest, so that one long item does not widen the windows of all. BM25
+statistics cover all items.
 
 Defined results: null texts are empty and match nothing; very long texts take bounded memory; an empty table gives an empty table
 or, without items, all documents; ties of score go to the first window; items without words match nothing; equal items are found each by
@@ -32,7 +35,9 @@ from pyspark.sql import functions as F
 
 from fennmark.llm.common import whole
 
-K1, B, THRESHOLD, OVERLAP, SHINGLE, POSTINGS_BLOCK, BLOCK_ITEMS, SLACK = 1.2, 0.75, 0.7, 0.8, 5, 8, 2000, 1e-4
+K1, B, THRESHOLD, OVERLAP, SHINGLE, POSTINGS_BLOCK, BLOCK_ITEMS, BLOCK_WORDS, SLACK = 1.2, 0.75, 0.7, 0.8, 5, 8, 2000, 200_000, 1e-4
+#: Items of a block have at most so many times the words of its shortest, or as many as short ones may have.
+WIDEST, SHORT_WORDS = 4, 128
 #: Strides in work at once, which bounds the memory a long text takes; an item number behind all.
 AT_ONCE, FAR = 256, 1 << 60
 #: Most items and characters of items that a driver collects.
@@ -126,10 +131,16 @@ class ItemIndex:
         self.first = np.cumsum([0, *map(len, postings)])
         self.items = np.array([i for p in postings for i, _ in p], dtype=np.int64)
         self.weights = np.array([w for p in postings for _, w in p])
-        self.block_max = np.zeros((len(postings), max(1, -(-len(items) // POSTINGS_BLOCK))), dtype=np.float32)
-        np.maximum.at(self.block_max, (np.repeat(np.arange(len(postings)), np.diff(self.first)), self.items // POSTINGS_BLOCK), np.nextafter(self.weights.astype(np.float32), np.float32(2)))
+        # The block maxima of a term: those of block_of and block_max from block_first[term] on.
+        self.n_terms, self.n_blocks = len(postings), max(1, -(-len(items) // POSTINGS_BLOCK))
+        at = np.repeat(np.arange(self.n_terms), np.diff(self.first)) * self.n_blocks + self.items // POSTINGS_BLOCK
+        at, of = np.unique(at, return_inverse=True)
+        self.block_max = np.zeros(len(at))
+        np.maximum.at(self.block_max, of, self.weights)
+        self.block_of, self.block_first = at % self.n_blocks, np.searchsorted(at // self.n_blocks, np.arange(self.n_terms + 1))
         self.longest = max((len(words_of(t)) for _, t in items), default=0)
-        self.term_max, self.item_list, self.weight_list = self.block_max.max(axis=1), self.items.tolist(), self.weights.tolist()
+        self.term_max, self.item_list, self.weight_list = np.zeros(self.n_terms), self.items.tolist(), self.weights.tolist()
+        np.maximum.at(self.term_max, at // self.n_blocks, self.block_max)
         self._terms = None
 
     def __getstate__(self) -> dict:
@@ -142,12 +153,18 @@ class ItemIndex:
         ids = np.fromiter(map(self._terms.__getitem__, raw), dtype=np.int64, count=len(raw))
         return ids[ids >= 0]
 
+    def bounds(self, rows: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
+        """Of n rows and each block of items, the sum of the block maxima of the terms that are paired with the row."""
+        counts = self.block_first[terms + 1] - self.block_first[terms]
+        at = np.arange(counts.sum()) + np.repeat(self.block_first[terms] - np.cumsum(counts) + counts, counts)
+        return np.bincount(np.repeat(rows, counts) * self.n_blocks + self.block_of[at], weights=self.block_max[at], minlength=n * self.n_blocks).reshape(n, self.n_blocks)
+
     def retrieve(self, terms: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All (item position, score) with a score of threshold or more for a passage of these distinct terms, by block-max WAND.
 
         Each term has a cursor in its postings. By their item, the first cursors whose greatest weights add up to the threshold
         give the pivot, as no item before it can reach it. The pivot is scored if its block can; else all cursors skip the block."""
-        reach = (self.block_max[terms].sum(axis=0) >= threshold - SLACK).tolist()
+        reach = (self.bounds(np.zeros(len(terms), dtype=np.int64), terms, 1)[0] >= threshold - SLACK).tolist()
         if not any(reach):
             return []
         # (item, place in the postings, their end, greatest weight) of each term
@@ -194,8 +211,8 @@ class ItemIndex:
         for start in range(0, len(ids), step):
             part = ids[start : start + step + stride]  # its last window needs the next stride
             n = -(-len(part) // stride)
-            at = np.unique(np.arange(len(part)) // stride * len(self.block_max) + part)
-            bounds = np.add.reduceat(self.block_max[at % len(self.block_max)], np.searchsorted(at // len(self.block_max), np.arange(n)), axis=0)
+            at = np.unique(np.arange(len(part)) // stride * self.n_terms + part)
+            bounds = self.bounds(at // self.n_terms, at % self.n_terms, n)
             bounds[:-1] += bounds[1:]
             out.append(start + np.flatnonzero((bounds[:AT_ONCE] >= threshold - SLACK).any(axis=1)) * stride)
         return np.concatenate(out)
@@ -227,7 +244,26 @@ class ItemIndex:
         return [(self.ids[item], *found) for item, found in sorted(best.items())]
 
 
-def build_indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_items: int = BLOCK_ITEMS) -> list[ItemIndex]:
+def cut_items(items: list[tuple[int, str]], lengths: list[int], block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> list[list[tuple[int, str]]]:
+    """Blocks of items by length, in their order where lengths are alike enough."""
+    limits: list[int] = []
+    for n in sorted(lengths):
+        if not limits or n > limits[-1]:
+            limits.append(max(WIDEST * n, SHORT_WORDS))
+    order = sorted(range(len(items)), key=lambda k: bisect_left(limits, lengths[k]))
+    out: list[list[tuple[int, str]]] = []
+    words, group = 0, -1
+    for k in order:
+        at = bisect_left(limits, lengths[k])
+        if not out or at != group or len(out[-1]) == block_items or words + lengths[k] > block_words:
+            out.append([])
+            words, group = 0, at
+        out[-1].append(items[k])
+        words += lengths[k]
+    return out
+
+
+def build_indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_items: int = BLOCK_ITEMS, block_words: int = BLOCK_WORDS) -> list[ItemIndex]:
     """One index for each block of items; almost always one."""
     chosen = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole(text).alias("text"))
     n, chars = chosen.agg(F.count("*"), F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()
@@ -236,8 +272,9 @@ def build_indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "t
     rows = chosen.collect()
     items = sorted(((r["item_id"], r["text"]) for r in rows if words_of(r["text"])), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     frequency = Counter(w for _, t in items for w in set(words_of(t)))
-    mean_words = sum(len(words_of(t)) for _, t in items) / max(1, len(items))
-    return [ItemIndex(items[k : k + block_items], frequency, len(items), mean_words) for k in range(0, len(items), block_items)]
+    lengths = [len(words_of(t)) for _, t in items]
+    mean_words = sum(lengths) / max(1, len(items))
+    return [ItemIndex(block, frequency, len(items), mean_words) for block in cut_items(items, lengths, block_items, block_words)]
 
 
 LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"

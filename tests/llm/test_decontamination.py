@@ -1,4 +1,6 @@
+import pickle
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -128,3 +130,34 @@ def test_too_many_items_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(dc, "MOST_ITEMS", 3)
     with pytest.raises(ValueError, match="too many"):
         dc.build_indexes(table(spark, SF, "benchmark"))
+
+
+def test_an_index_of_many_rare_words_stays_small():
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(400)) + f". Answer {k}.") for k in range(2000)]
+    blocks = dc.cut_items(items, [402] * len(items))
+    assert [i for b in blocks for i in b] == items and all(402 * len(b) <= dc.BLOCK_WORDS for b in blocks)
+    index = dc.ItemIndex(blocks[0], dict.fromkeys((w for _, t in blocks[0] for w in dc.words_of(t)), 1), len(items), 402.0)
+    assert sum(x.nbytes for x in vars(index).values() if isinstance(x, np.ndarray)) < 30_000_000
+    assert len(pickle.dumps(index)) < 60_000_000
+    assert [k for k, *_ in index.leaks("Before it. " + items[7][1] + " After it.")] == [7]
+
+
+def test_one_long_item_does_not_widen_the_windows_of_others():
+    items = [(k, " ".join(f"w{(k * 7 + j) % 90}" for j in range(20))) for k in range(50)] + [(99, " ".join(f"v{j}" for j in range(3000)))]
+    blocks = dc.cut_items(items, [len(t.split()) for _, t in items])
+    assert [len(b) for b in blocks] == [50, 1] and blocks[1] == items[50:]
+    assert dc.cut_items([], []) == [] and [len(b) for b in dc.cut_items(items[:5], [20] * 5, block_items=2)] == [2, 2, 1]
+
+
+def test_bounds_equal_brute_force():
+    rng = random.Random(6)
+    items = [(k, " ".join(f"w{rng.randrange(40)}" for _ in range(12))) for k in range(60)]
+    frequency = Counter(w for _, t in items for w in set(dc.words_of(t)))
+    index = dc.ItemIndex(items, frequency, len(items), 12.0)
+    rows, terms = np.array([0, 0, 2, 2, 2]), np.array([1, 5, 0, 7, 8])
+    want = np.zeros((3, index.n_blocks))
+    for r, t in zip(rows, terms):
+        for b in range(index.n_blocks):
+            own = [w for i, w in zip(index.items[index.first[t] : index.first[t + 1]], index.weights[index.first[t] : index.first[t + 1]]) if i // dc.POSTINGS_BLOCK == b]
+            want[r, b] += max(own, default=0)
+    assert np.allclose(index.bounds(rows, terms, 3), want)
