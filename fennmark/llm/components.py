@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fennmark.llm.common import cut_lineage
+from fennmark.llm.common import cut_lineage, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -16,13 +16,14 @@ def _mark(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    # Written, so that the join has plain shuffles on both sides: Spark splits those where a node has very many edges.
+    least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(down.groupBy("u").agg(F.min("v").alias("m")))
     tied = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
