@@ -44,4 +44,4 @@ def test_stages_on_odd_and_no_rows(spark):
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
