@@ -11,7 +11,7 @@ for products in a window [low, high] only, which also leaves out the annuli whol
 
 Widening is a loop of Spark joins: the annuli that a block of queries wants next meet the chunks of these annuli, and only
 the best k of each pair go on. Pivots and the ranges of annuli (at most `pivots` x `annuli` numbers) are what the driver and tasks hold
-besides; pivots and ranges are learnt from a sample of `sample` vectors, every vector is stored.
+besides; pivots and ranges are learnt from a sample of about `sample` vectors, every vector is stored.
 
 Defined results: rows without id, label or vector, or with a null or non-finite component, take no part; rows alike in id,
 label and vector count once, and a row of the anchor's own id is never its partner; shorter vectors count as filled
@@ -42,6 +42,15 @@ def whole_rows(vectors: DataFrame, label: Column | None = None, scale: int = 256
     return kept.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), label.cast("long").alias("label"), floored(F.col(f"`{embedding}`"), scale).alias("v")).distinct()
 
 
+def sampled(rows: DataFrame, n: int, sample: int) -> DataFrame:
+    """About `sample` of n distinct rows(vec_id, label, v), those whose hash is least, in order of it; all if they are fewer.
+    The share is kept row by row, so the driver gets no more than that, whatever the number of tasks (an ordered limit gives it as
+    many of each). The label and vector are hashed too, so many rows of one id are not kept or left together."""
+    spread = F.xxhash64("vec_id", "label", "v")
+    kept = rows if n <= sample else rows.filter(spread < int(-(2**63) + 2**64 * sample / n))
+    return kept.orderBy(spread, "vec_id")
+
+
 class DistanceKeys:
     """The stored table, its pivots and annuli."""
 
@@ -52,7 +61,7 @@ class DistanceKeys:
         self.rows = written(rows.select("vec_id", "label", F.concat("v", F.array_repeat(F.lit(0).cast("bigint"), self.dims - F.size("v"))).alias("v")))
         norm = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x)
         self.most_norm = float(self.rows.agg(F.coalesce(F.max(norm), F.lit(0))).first()[0])
-        chosen = self.rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+        chosen = sampled(self.rows, n, sample).select("v").collect()
         learnt = self.lifted(np.array([r["v"] for r in chosen], dtype=np.float64).reshape(len(chosen), self.dims))
         self.pivots = _pivots(learnt, max(1, min(pivots, len(learnt) // 8)))
         nearest, distance = self.keyed(learnt)

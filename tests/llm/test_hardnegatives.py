@@ -72,3 +72,15 @@ def test_random_tables(spark):
     rng = random.Random(1)
     rows = [(k, [rng.choice([-1.0, -0.5, 0.0, 0.5, 1.0]) for _ in range(3)], rng.randrange(3)) for k in range(150)]
     assert mined(rows_of(spark, rows), F.col("vec_id") % 3 == 0, pivots=4, annuli=4, chunk_rows=8, sample=64) == brute(rows, lambda i: i % 3 == 0)
+
+
+def test_the_driver_gets_one_sample_whatever_the_number_of_tasks(spark):
+    """Rows of one id and of many, in one task and in forty: what is sent to the driver does not grow with tasks."""
+    rows = spark.range(20_000).selectExpr("if(id % 2 = 0, 0, id) vec_id", "id % 5 label", "array(id, id * id % 1000) v").distinct()
+    for tasks in (1, 40):
+        dealt = rows.repartition(tasks)
+        kept = [tuple(r) for r in hardnegatives.sampled(dealt, 20_000, 500).select("vec_id", "label").collect()]
+        assert 400 < len(kept) < 600 and 100 < sum(i == 0 for i, _ in kept) < 400
+        plan = hardnegatives.sampled(dealt, 20_000, 500)._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "Limit" not in plan
+    assert hardnegatives.sampled(rows, 20_000, 20_000).count() == 20_000
