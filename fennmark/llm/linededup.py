@@ -6,8 +6,8 @@ rolling hash goes over the hashes of neighbouring lines, by windows of two lines
 and shift with it. A boundary whose rolling hash occurs twice in the corpus anchors a chunk, the lines from the boundary
 before to the one behind. A passage seldom begins and ends at boundaries, so all windows in such chunks are looked up, to
 both sides of a line; a line that is long by itself (`lone_chars` characters or more than `lone_words` words) is a window
-too. Windows of one 64-bit hash are compared by the first 16 bytes of the SHA-256 of their bytes with the first of them, the
-one in the smallest doc_id; what is equal goes, and a hash that stands for other bytes is left alone. What is taken out must add up to a run of
+too. Windows with the same first 16 bytes of the SHA-256 of their bytes are equal; the first of them, the one in the smallest
+doc_id, stays and the others go. What is taken out must add up to a run of
 `least_chars` characters, so short headings and formulas stay. Each line that goes has an equal one before it that stays.
 Equal texts, by two 64-bit hashes of the whole text, are one class: its first document goes through all this, its other copies
 are emptied if they are long enough.
@@ -38,7 +38,7 @@ NO_ID = 2**63 - 1
 WRITTEN_OUT = 8
 #: From the boundary behind, at least so many lines are looked up where two have too few characters.
 REACH = 8
-#: Windows of texts with seeds that occur more often are dealt over several tasks.
+#: Windows of texts with seeds that occur more often are dealt over several tasks; results do not depend on it.
 SALT_ROWS = 10_000
 
 
@@ -62,9 +62,9 @@ def is_lone(line: Column, chars: Column, lone_chars: int, lone_words: int) -> Co
 
 
 class Page:
-    """The lines of a text as columns: b (bare), h (hashes), c (characters)."""
+    """The lines of a text as columns: b (bare), h (hashes, where they are asked for), c (characters)."""
 
-    def __init__(self, b: Column, h: Column, c: Column, chunk_chars: int, lone_chars: int, lone_words: int) -> None:
+    def __init__(self, b: Column, h: Column | None, c: Column, chunk_chars: int, lone_chars: int, lone_words: int) -> None:
         self.b, self.h, self.c, self.chunk_chars, self.lone_chars, self.lone_words = b, h, c, chunk_chars, lone_chars, lone_words
 
     def many(self, at: Column) -> Column:
@@ -107,9 +107,9 @@ class Page:
         return is_lone(F.get(self.b, k), F.get(self.c, k), self.lone_chars, self.lone_words)
 
 
-def on_page(text: Column, body: Callable[[Page], Column], *sizes: int) -> Column:
-    b = F.transform(lines(text), bare)
-    return let(b, lambda b: let(F.transform(b, lambda x: F.xxhash64(x)), lambda h: let(F.transform(b, lambda x: F.greatest(F.length(x), F.lit(1))), lambda c: body(Page(b, h, c, *sizes)))))
+def on_page(text: Column, body: Callable[[Page], Column], *sizes: int, hashed: bool = True) -> Column:
+    counted = lambda b, h: let(F.transform(b, lambda x: F.greatest(F.length(x), F.lit(1))), lambda c: body(Page(b, h, c, *sizes)))
+    return let(F.transform(lines(text), bare), lambda b: let(F.transform(b, lambda x: F.xxhash64(x)), lambda h: counted(b, h)) if hashed else counted(b, None))
 
 
 def span(lo: Column, hi: Column) -> Column:
@@ -157,29 +157,28 @@ def few(chars: list[Column], chunk_chars: int, back: bool) -> Column:
 
 
 def windows(texts: DataFrame, *sizes: int) -> DataFrame:
-    """(the columns of texts but text and spans, hash, start, n, bytes): the windows that start or end at a line within spans,
+    """(the columns of texts but text and spans, start, n, bytes): the windows that start or end at a line within spans,
     an array of what span() packs. Lines become rows before windows are hashed, so that this is compiled and not run by lambdas."""
 
     def of(page: Page) -> Column:
-        at = F.filter(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(F.shiftright(s, 32).cast("int"), s.bitwiseAND(F.lit(2**32 - 1)).cast("int") - 1)))), lambda k: k < F.size(page.h))
-        return F.struct(page.b.alias("b"), page.h.alias("h"), page.c.alias("c"), at.alias("at"), page.many(at).alias("many"))
+        at = F.filter(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(F.shiftright(s, 32).cast("int"), s.bitwiseAND(F.lit(2**32 - 1)).cast("int") - 1)))), lambda k: k < F.size(page.c))
+        return F.struct(page.b.alias("b"), page.c.alias("c"), at.alias("at"), page.many(at).alias("many"))
 
     keep = [c for c in texts.columns if c not in ("text", "spans")]
     spot = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
-    cut = texts.select(*keep, on_page(F.col("text"), of, *sizes).alias("page")).select(*keep, "page.*")
+    cut = texts.select(*keep, on_page(F.col("text"), of, *sizes, hashed=False).alias("page")).select(*keep, "page.*")
     # Windows of many lines come once a text, with a line before the first.
-    lined = cut.select(*keep, "b", "h", "c", "many", F.explode(F.concat(F.array(F.lit(-1)), F.col("at"))).alias("k"))
+    lined = cut.select(*keep, "b", "c", "many", F.explode(F.concat(F.array(F.lit(-1)), F.col("at"))).alias("k"))
     # Lines beyond the ends have no characters. Columns of their own keep the compiled code short enough for the JVM's compiler.
     k, around = F.col("k"), {m: f"c{m}" for m in range(1 - WRITTEN_OUT, WRITTEN_OUT)}
-    near = lined.select(*keep, "b", "h", "many", "k", *[F.coalesce(F.get("c", k + m), F.lit(0)).alias(c) for m, c in around.items()])
-    counts = near.select(*keep, "b", "h", "many", "k", few([F.col(around[m]) for m in range(WRITTEN_OUT)], sizes[0], False).alias("ahead"), few([F.col(around[-m]) for m in range(WRITTEN_OUT)], sizes[0], True).alias("back"), is_lone(F.get("b", k), F.col(around[0]), *sizes[1:]).alias("lone"))
+    near = lined.select(*keep, "b", "many", "k", *[F.coalesce(F.get("c", k + m), F.lit(0)).alias(c) for m, c in around.items()])
+    counts = near.select(*keep, "b", "many", "k", few([F.col(around[m]) for m in range(WRITTEN_OUT)], sizes[0], False).alias("ahead"), few([F.col(around[-m]) for m in range(WRITTEN_OUT)], sizes[0], True).alias("back"), is_lone(F.get("b", k), F.col(around[0]), *sizes[1:]).alias("lone"))
     one = F.array(spot(k, F.col("ahead")), spot(k - F.col("back") + 1, F.col("back")), spot(k, F.when(F.col("lone"), 1)))
-    spots = counts.select(*keep, "b", "h", F.inline(F.when(k < 0, F.col("many")).otherwise(one))).filter("n is not null")
+    spots = counts.select(*keep, "b", F.inline(F.when(k < 0, F.col("many")).otherwise(one))).filter("n is not null")
     pair = F.col("n") == 2
     first, second = F.get("b", F.col("start")), F.get("b", F.col("start") + 1)
     data = F.when(pair, F.concat(first, F.lit("\n"), second)).otherwise(F.array_join(F.slice("b", F.col("start") + 1, F.col("n")), "\n"))
-    rolled = F.when(pair, F.xxhash64(F.get("h", F.col("start")), F.get("h", F.col("start") + 1))).otherwise(F.xxhash64(F.slice("h", F.col("start") + 1, F.col("n"))))
-    return spots.select(*keep, rolled.alias("hash"), "start", "n", F.substring(F.unhex(F.sha2(data, 256)), 1, 16).alias("bytes"))
+    return spots.select(*keep, "start", "n", F.substring(F.unhex(F.sha2(data, 256)), 1, 16).alias("bytes"))
 
 
 def without(text: Column, spans: Column, least_chars: int) -> Column:
@@ -216,28 +215,27 @@ def repeated_spans(rows: DataFrame, text: str, mean_lines: int, *sizes: int) ->
     # What is repeated in copies of one text alone is left to the class.
     place = F.xxhash64("ka", "kb", "span")
     often = written(found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("hash", "times"))
-    most = often.agg(F.max("times")).first()[0] or 0
     places = found.select("hash", "ka", "kb", "span").join(often, "hash")
-    wanted = places.groupBy("ka", "kb").agg(F.collect_set("span").alias("spans"), F.max("times").alias("times")).join(classes, ["ka", "kb"])
-    # The condition reads all columns, so that this join and the last one share one shuffle of the texts.
-    held, hashed = wanted.select("ka", "kb", "first", "times", F.col("spans").alias("near")), [f.name for f in rows.schema.fields if _hashable(f.dataType)]
-    firsts = rows.withColumnRenamed("k1", "id").join(held, ["ka", "kb"]).filter((F.col("id") <= F.col("first")) & (F.hash("first", *["id" if c == "k1" else c for c in hashed]) >= -(2**31)))
-    salts = F.ceil(F.col("times") / SALT_ROWS)
-    texts = firsts.select(F.col("id").alias("k1"), "ka", "kb", F.pmod(F.xxhash64("ka", "kb"), salts).alias("salt"), salts.alias("salts"), whole(text).alias("text"), F.col("near").alias("spans"))
-    looked = windows(texts, *sizes)
-    at = F.struct("k1", "ka", "kb", "start")
-
-    def beside_first(windowed: DataFrame, *keys: str) -> DataFrame:
-        """With the place and the bytes of the first window of the same hash."""
-        order = Window.partitionBy(*keys).orderBy("k1", "ka", "kb", "start")
-        return windowed.withColumns({"one": F.first(at).over(order), "same": F.first("bytes").over(order) == F.col("bytes"), "dealt": F.max("salts").over(order)})
-
-    compared = beside_first(looked, "hash", "salt")
-    # Both branches read the same columns, so they share one shuffle of the windows.
-    later = compared.filter(F.col("same") & (F.col("one") != at) & (F.col("dealt") > 0)).select("ka", "kb", "start", "n")
-    if most > SALT_ROWS:
-        heads = beside_first(compared.filter((F.col("one") == at) & (F.col("dealt") > 1)).drop("one", "same", "dealt"), "hash")
-        later = later.unionByName(heads.filter(F.col("same") & (F.col("one") != at)).select("ka", "kb", "start", "n"))
+    wanted = written(places.groupBy("ka", "kb").agg(F.collect_set("span").alias("spans"), F.max("times").alias("times")).join(classes, ["ka", "kb"]))
+    # The condition reads all columns, so that these joins and the last one share one shuffle of the texts.
+    hashed = [f.name for f in rows.schema.fields if _hashable(f.dataType)]
+
+    def looked(of: DataFrame, *more: Column) -> DataFrame:
+        """The windows near the anchors of some of the wanted texts."""
+        held = of.select("ka", "kb", "first", "times", F.col("spans").alias("near"))
+        firsts = rows.withColumnRenamed("k1", "id").join(held, ["ka", "kb"]).filter((F.col("id") <= F.col("first")) & (F.hash("first", *["id" if c == "k1" else c for c in hashed]) >= -(2**31)))
+        return windows(firsts.select(F.col("id").alias("k1"), "ka", "kb", *more, whole(text).alias("text"), F.col("near").alias("spans")), *sizes)
+
+    def placed(windowed: DataFrame, *dealt: str) -> DataFrame:
+        """With behind = 0 for the first window of the same bytes, among those dealt alike. Not by rank(): for its firsts Spark
+        would plan a window of their own, which could not share the shuffle with that of the others."""
+        return windowed.withColumn("behind", F.percent_rank().over(Window.partitionBy("bytes", *dealt).orderBy("k1", "ka", "kb", "start")))
+
+    # Windows of texts with a common anchor are first compared within a deal, and the first of each deal go on. Deals change no
+    # result, as what is not first in its deal is not first in all. Without such texts this part is empty and Spark drops it.
+    common = placed(looked(wanted.filter(F.col("times") > SALT_ROWS), F.pmod(F.xxhash64("ka", "kb"), F.ceil(F.col("times") / SALT_ROWS)).alias("salt")), "salt")
+    rest = looked(wanted.filter(F.col("times") <= SALT_ROWS)).unionByName(common.filter("behind = 0").drop("salt", "behind"))
+    later = placed(rest).filter("behind > 0").select("ka", "kb", "start", "n").unionByName(common.filter("behind > 0").select("ka", "kb", "start", "n"))
     gone = later.groupBy("ka", "kb").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     return classes.join(gone, ["ka", "kb"], "left").filter("copied or spans is not null")
 

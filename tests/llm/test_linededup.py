@@ -215,3 +215,16 @@ def test_long_runs_of_blank_lines(spark):
     got = texts_of(ld.drop_repeated_chunks(documents(spark, rows), mean_lines=1))
     # A window of blank lines repeats one line on in the same text, so long runs of them shrink; nothing else goes.
     assert got[4] == "\n" * 20 and got[3].startswith("x") and set(got[1]) <= {"\n"} and len(got[1]) <= 300 and got[2] == ""
+
+
+def test_results_do_not_depend_on_the_size_at_which_windows_are_dealt(spark, monkeypatch):
+    """A passage next to an anchor that is common in some of its texts and rare in others: its windows are dealt in some alone."""
+    rng = random.Random(31)
+    passage, common = " ".join(sentences(rng, 8)), " ".join(sentences(rng, 8))
+    own = lambda: " ".join(sentences(rng, 4))
+    rows = [(k, f"{own()} {passage} {own()}") for k in range(3)] + [(10 + k, f"{own()} {passage} {common} {own()}") for k in range(3)] + [(20 + k, f"{own()} {common} {own()}") for k in range(40)]
+    usual = texts_of(ld.drop_repeated_chunks(documents(spark, rows)))
+    assert sum(passage in t for t in usual.values()) == sum(common in t for t in usual.values()) == 1
+    for rare in (1, 3, 7, 20):
+        monkeypatch.setattr(ld, "SALT_ROWS", rare)
+        assert texts_of(ld.drop_repeated_chunks(documents(spark, rows))) == usual, rare
