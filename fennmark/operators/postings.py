@@ -20,12 +20,14 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fennmark.functions.text import let, tokens
 
 K1, B = 1.2, 0.75
+#: Postings of a task when they are dealt by term.
+TASK_POSTINGS = 1_000_000
 #: Declared, so that an empty index can be read too.
 SCHEMAS = {
     "forward": "doc_id long, block int, length int, terms array<struct<term:string,tf:int>>",
@@ -113,8 +115,11 @@ class Postings:
 
     def vectors(self, dims: int = 256) -> DataFrame:
         """(doc_id, vector): feature-hashed tf-idf of every document with words, of length 1; see hashed()."""
-        each = self.postings().crossJoin(F.broadcast(self.stats)).select("term", idf(F.col("df"), F.col("n_docs")).alias("idf"), F.inline("docs"))
-        return gathered(each.select("doc_id", *hashed(F.col("term"), dims), (F.col("tf") * F.col("idf")).alias("weight")), dims)
+        weight = idf(F.col("df"), F.col("n_docs"))
+        # The documents of a block meet by whole rows of postings, so no posting is shuffled alone; sums need no further shuffle then.
+        rows = self.postings().crossJoin(F.broadcast(self.stats)).select("block", *hashed(F.col("term"), dims), weight.alias("idf"), F.col("docs.doc_id").alias("ids"), F.col("docs.tf").alias("tfs"))
+        each = rows.repartition("block").select("block", "dim", "sign", "idf", F.inline(F.arrays_zip("ids", "tfs")))
+        return gathered(each.select("block", F.col("ids").alias("doc_id"), "dim", "sign", (F.col("tfs") * F.col("idf")).alias("weight")), dims, "block")
 
     def question_vector(self, asked: list[str], dims: int = 256) -> DataFrame:
         """(doc_id, vector) of one row, id null: the asked terms that the index has, each once."""
@@ -138,10 +143,11 @@ def hashed(term: Column, dims: int) -> tuple[Column, Column]:
     return (digits(1, 6) % dims).cast("int").alias("dim"), F.when(digits(7, 1) < 8, 1).otherwise(-1).alias("sign")
 
 
-def gathered(parts: DataFrame, dims: int) -> DataFrame:
-    """(doc_id, vector) of rows (doc_id, dim, sign, weight): sums by dimension, scaled to length 1; without a sum, zeros."""
-    sums = parts.groupBy("doc_id", "dim").agg(F.sum(F.col("sign") * F.col("weight")).alias("x"))
-    cells = sums.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))  # at most dims cells
+def gathered(parts: DataFrame, dims: int, *by: str) -> DataFrame:
+    """(doc_id, vector) of rows (doc_id, dim, sign, weight): sums by dimension, scaled to length 1; without a sum, zeros.
+    by: columns that go with doc_id, by which the rows lie together already."""
+    sums = parts.groupBy(*by, "doc_id", "dim").agg(F.sum(F.col("sign") * F.col("weight")).alias("x"))
+    cells = sums.groupBy(*by, "doc_id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))  # at most dims cells
     unit = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.coalesce(F.try_element_at("m", k) / F.nullif("norm", F.lit(0.0)), F.lit(0.0)))
     return cells.select("doc_id", unit.alias("vector"))
 
@@ -166,18 +172,28 @@ def build_postings(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: s
     words = F.coalesce(tokenise(F.col("text")), F.array().cast("array<string>"))
     made = rows.select("doc_id", block.cast("int").alias("block"), let(words, lambda w: F.struct(F.size(w).alias("length"), term_frequencies(w).alias("terms"))).alias("x"))
     made.select("doc_id", "block", "x.*").write.parquet(f"{folder}/forward")
-    index.forward.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length")).coalesce(1).write.parquet(f"{folder}/stats")
-    each = index.forward.select("doc_id", "block", "length", F.inline("terms"))
-    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").cast("bigint").alias("tf"))
-    by_term = lambda frame: frame.withColumn("bucket", bucket_of(F.col("term"), buckets))
-    _write(by_term(counted), f"{folder}/terms", "term")
-    # A row for each term and block: the hottest term is spread over all blocks, and no row has more than a block's documents.
-    held = each.crossJoin(F.broadcast(index.stats)).groupBy("term", "block").agg(
-        F.count("*").alias("n"),
-        F.max(saturation(F.col("tf"), F.col("length"), F.col("mean_length"))).alias("weight"),
-        F.sort_array(F.collect_list(F.struct("doc_id", "tf", "length"))).alias("docs"),
-    )
-    _write(by_term(held.join(index.terms().select("term", "df"), "term").select("term", "block", "n", "weight", "df", "docs")), f"{folder}/postings", "term", "block")
+    facts = index.forward.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean_length"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("n")).first()
+    spark.createDataFrame([facts[:2]], SCHEMAS["stats"]).coalesce(1).write.parquet(f"{folder}/stats")
+    # Documents meet by block, where their postings are gathered without a shuffle of each; the rows of a term and block are then
+    # dealt by term, a few arrays each, and df is added up there. So the hottest term is one row for each block, and a task has about
+    # TASK_POSTINGS whatever the number of documents, which it can sort in memory.
+    each = index.forward.repartitionByRange(blocks, "block").select("doc_id", "block", "length", F.inline("terms"))
+    weight = F.max(saturation(F.col("tf"), F.col("length"), F.lit(facts["mean_length"]).cast("double"))).alias("weight")
+    held = each.groupBy("block", "term").agg(F.sum("tf").cast("bigint").alias("tf"), weight, F.sort_array(F.collect_list(F.struct("doc_id", "tf", "length"))).alias("docs"))
+    tasks = max(1, math.ceil(facts["n"] / TASK_POSTINGS))
+    dealt = held.select(
+        bucket_of(F.col("term"), buckets).alias("bucket"),
+        F.pmod(F.hash("term"), F.lit(4 * math.ceil(tasks / buckets))).alias("part"),
+        *("term", "block", "weight", F.col("tf").alias("own")),
+        *[F.col(f"docs.{c}").alias(c) for c in ("doc_id", "tf", "length")],
+    ).repartition(tasks, "bucket", "part")
+    n, same = F.size("doc_id").cast("bigint"), Window.partitionBy("bucket", "part", "term")
+    summed = dealt.select("*", n.alias("n"), F.sum(n).over(same).alias("df"), F.sum("own").over(same).alias("all"), (F.min("block").over(same) == F.col("block")).alias("head"))
+    # The term's first row has its occurrences for the dictionary.
+    made = summed.select("term", "block", "n", "weight", "df", F.arrays_zip("doc_id", "tf", "length").alias("docs"), F.when(F.col("head"), F.col("all")).alias("tf"), "bucket")
+    made.sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(f"{folder}/postings")
+    firsts = spark.read.schema("term string, df long, tf long, bucket int").parquet(f"{folder}/postings").filter("tf is not null")
+    _write(firsts, f"{folder}/terms", "term")
     return index
 
 

@@ -1,5 +1,6 @@
 """The index against counting by hand, what its plans read, odd rows, and a term in every document."""
 
+import math
 import random
 from collections import Counter
 
@@ -82,3 +83,45 @@ def test_han_text_is_found(spark):
     index = build(spark, [(1, "肝癌治疗指南"), (2, "肺癌 guide"), (3, "癌肝")], tokenise=T.mixed_tokens)
     assert [r.doc_id for r in index.bm25(["肝癌"]).collect()] == [1]
     assert {r.doc_id for r in retrieval.ranked(index.bm25(["治疗", "肺癌"]), "score").collect()} == {1, 2}
+
+
+def exchanges(df):
+    """What each shuffle of the plan holds: its columns, by name."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.split("\n") if "Exchange " in line and "Broadcast" not in line and "Reused" not in line]
+
+
+def test_vectors_shuffle_rows_of_postings_once(spark):
+    """The postings of a block meet by whole rows; before, each posting was shuffled alone, and their sums again."""
+    index = build(spark, [(k, f"the cat {k} {k % 7}") for k in range(200)], block_docs=50)
+    assert len([x for x in exchanges(index.vectors(16)) if "block#" in x or "doc_id#" in x]) == 1
+    by_hand = {}
+    n, df = 200, Counter(t for k in range(200) for t in {"the", "cat", str(k), str(k % 7)})
+    signs = {r.term: (r.dim, r.sign) for r in index.terms().select("term", *postings.hashed(F.col("term"), 16)).collect()}
+    for k in range(200):
+        sums = [0.0] * 16
+        for term, tf in Counter(["the", "cat", str(k), str(k % 7)]).items():
+            dim, sign = signs[term]
+            sums[dim] += sign * tf * math.log(1 + (n - df[term] + 0.5) / (df[term] + 0.5))
+        norm = math.sqrt(sum(x * x for x in sums))
+        by_hand[k] = [x / norm if norm else 0.0 for x in sums]
+    got = {r.doc_id: r.vector for r in index.vectors(16).collect()}
+    assert set(got) == set(by_hand) and all(abs(a - b) < 1e-9 for k in got for a, b in zip(got[k], by_hand[k], strict=True))
+
+
+def test_dictionary_and_postings_agree_when_dealt_over_many_tasks(spark, monkeypatch):
+    rows = [(k, "the " * (1 + k % 3) + f"w{k} w{k % 11}") for k in range(300)]
+    usual = build(spark, rows, block_docs=40)
+    monkeypatch.setattr(postings, "TASK_POSTINGS", 50)
+    dealt = build(spark, rows, block_docs=40)
+    counts, docs = Counter(), Counter()
+    for _, text in rows:
+        counts.update(text.split())
+        docs.update(set(text.split()))
+    for index in (usual, dealt):
+        assert {(r.term, r.df, r.tf) for r in index.terms().collect()} == {(t, docs[t], n) for t, n in counts.items()} and index.terms().count() == len(counts)
+        found = index.postings().collect()
+        assert all(r.df == docs[r.term] and r.n == len(r.docs) for r in found) and sum(r.n for r in found) == sum(docs.values())
+    assert sorted(map(str, usual.postings().collect())) == sorted(map(str, dealt.postings().collect()))
+    assert len(dealt.postings().inputFiles()) > len(usual.postings().inputFiles())
