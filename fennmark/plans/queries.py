@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fennmark.functions import text as T
 from fennmark.operators import catalogue, corpus, dialogue, postings, retrieval, routing, temporal, usage
 from fennmark.plans import samples
-from fennmark.session import table, work_folder
+from fennmark.session import kept, table, work_folder
 from fennmark.sources import catalogue as reader
 from fennmark.sources import typed
 from fennmark.streaming import events as streams
@@ -278,7 +278,7 @@ select doc_id, round(sum(1 / (60 + rank)), 9) score from (select * from a union
 def r4_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lexical and the vector ranking of one question fused, both from the index."""
     index = _index(spark, sf_dir)
-    lexical, near = index.bm25(ASKED), postings.cosine(index.vectors(), index.question_vector(ASKED))
+    lexical, near = index.bm25(ASKED), kept(postings.cosine(index.vectors(), index.question_vector(ASKED)), "near")
     return retrieval.fuse_ranks(retrieval.ranked(lexical, "score"), retrieval.ranked(near, "score"))
 
 

@@ -19,3 +19,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: for few rows that are read more than once and would be costly to make again."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
