@@ -4,6 +4,7 @@ import os
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +51,64 @@ def test_a_user_without_events_is_closed_and_starts_afresh(spark):
     assert (1, None, at(210), False) in rows and (1, at(0), at(210), False) not in rows
 
 
+def test_a_users_batch_reads_and_writes_the_state_once():
+    """By a state store that counts its calls: a timer is registered for a new user only, and put off when it expires."""
+    calls = []
+
+    class Store:
+        value, timers = None, set()
+
+        def getValueState(self, *_):
+            return self
+
+        def exists(self):
+            calls.append("exists")
+            return self.value is not None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+        def listTimers(self):
+            calls.append("list")
+            return iter(sorted(self.timers))
+
+        def registerTimer(self, at):
+            calls.append("register")
+            self.timers = self.timers | {at}
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+            self.timers = self.timers - {at}
+
+    class Watermark:
+        now = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    store, clock, funnel = Store(), Watermark(), stateful.Funnel("view", "purchase", 1000)
+    funnel.init(store)
+    rows = lambda ms: iter([pd.DataFrame({"event_type": ["view"], "us": [ms * 1000]})])
+    list(funnel.handleInputRows((1,), rows(5), clock))
+    assert calls == ["get", "update", "register"] and store.timers == {1005}
+    calls.clear()
+    list(funnel.handleInputRows((1,), rows(700), clock))
+    assert calls == ["get", "update"]
+    clock.now, store.timers = 1500, set()
+    assert list(funnel.handleExpiredTimer((1,), clock, None)) == [] and store.timers == {1700}  # put off
+    clock.now, store.timers = 1700, set()
+    closed = list(funnel.handleExpiredTimer((1,), clock, None))
+    assert len(closed) == 1 and bool(closed[0]["closed"][0]) and store.value is None and store.timers == set()
+
+
 def test_funnel_of_no_rows(spark):
     assert tuple(stateful.funnel_totals(funnel(spark, [[]])).first()) == (0, 0)
 
