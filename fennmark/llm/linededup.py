@@ -32,7 +32,11 @@ from pyspark.sql import types as T
 
 from fennmark.llm.common import let, whole, written
 
+#: The tests cut lines at CLOSES with the help of MARK.
 MARK, CLOSES = "\x01", ("\n", ". ", "! ", "? ", "; ", ": ", ", ")
+#: The same as a regular expression: a newline or one of ENDS and a space.
+ENDS = "".join(close[0] for close in CLOSES[1:])
+CLOSE = rf"\n|[{ENDS}] "
 NO_ID = 2**63 - 1
 #: Windows of up to so many lines are written out as expressions; longer ones, of very short lines, are added up line by line.
 WRITTEN_OUT = 8
@@ -43,13 +47,8 @@ SALT_ROWS = 10_000
 
 
 def lines(text: Column) -> Column:
-    """The text cut into lines that join to the text again. A text that has MARK itself is cut by a slower expression."""
-    marked = text
-    for close in CLOSES:
-        # Looking whether it is there is cheaper than replacing; where nothing is sought, nothing is replaced.
-        sought = F.when(F.contains(text, F.lit(close)), F.lit(close)).otherwise(F.lit(""))
-        marked = F.replace(marked, sought, F.lit(close + MARK))
-    return F.when(F.contains(text, F.lit(MARK)), F.split(text, r"(?s)(?<=\n|[.!?;:,] )(?=.)", -1)).otherwise(F.split(F.rtrim(marked, F.lit(MARK)), MARK, -1))
+    """The text cut into lines that join to the text again. All quantifiers are possessive, so this neither looks back nor recurs."""
+    return F.when(text == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(text, F.lit(f"(?:[^{ENDS}\\n]++|[{ENDS}](?! ))++(?:{CLOSE})?|{CLOSE}"), F.lit(0)))
 
 
 def bare(line: Column) -> Column:
@@ -62,13 +61,20 @@ def is_lone(line: Column, chars: Column, lone_chars: int, lone_words: int) -> Co
 
 
 class Page:
-    """The lines of a text as columns: b (bare), h (hashes, where they are asked for), c (characters)."""
+    """The lines of a text as columns: b (bare), h (hashes, where they are asked for), c (characters, as doubles: in lambdas
+    Spark adds these faster than whole numbers, whose overflow it guards by a call)."""
 
     def __init__(self, b: Column, h: Column | None, c: Column, chunk_chars: int, lone_chars: int, lone_words: int) -> None:
         self.b, self.h, self.c, self.chunk_chars, self.lone_chars, self.lone_words = b, h, c, chunk_chars, lone_chars, lone_words
 
+    def crowded(self) -> Column:
+        """Whether there may be WRITTEN_OUT lines with too few characters: one such run has all but two of its lines behind every third."""
+        chars = lambda k, n: sum([F.get(self.c, k + m) for m in range(1, n)], F.get(self.c, k))
+        small = lambda k: (chars(k, 3) < self.chunk_chars) & (chars(k, WRITTEN_OUT - 2) < self.chunk_chars)
+        return F.coalesce(F.exists(F.sequence(F.lit(0), F.size(self.c) - 1, F.lit(3)), small), F.lit(False))
+
     def many(self, at: Column) -> Column:
-        """array of (start, n): the windows of more than WRITTEN_OUT lines that begin or end at the lines `at`."""
+        """array of spot(start, n): the windows of more than WRITTEN_OUT lines that begin or end at the lines `at`."""
 
         def short(k: Column, step: int) -> Column:
             chars = [F.get(self.c, k + step * m) for m in range(WRITTEN_OUT)]
@@ -76,30 +82,26 @@ class Page:
             return (sum(chars[1:3], chars[0]) < self.chunk_chars) & (sum(chars[1:], chars[0]) < self.chunk_chars) & self.goes_on(k, step)
 
         def behind(k: Column) -> Column:
-            chars = lambda n: F.aggregate(F.slice(self.c, k - n + 2, n - 1), F.lit(0), lambda s, x: s + x)
-            return let(self.added_up(k, -1), lambda n: F.when(chars(n) >= self.chunk_chars, F.struct((k - n + 1).alias("start"), n.alias("n"))))
+            chars = lambda n: F.aggregate(F.slice(self.c, k - n + 2, n - 1), F.lit(0.0), lambda s, x: s + x)
+            return let(self.added_up(k, -1), lambda n: F.when(chars(n) >= self.chunk_chars, spot(k - n + 1, n)))
 
-        ahead = F.transform(F.filter(at, lambda k: short(k, 1)), lambda k: let(self.added_up(k, 1), lambda n: F.when(n.isNotNull(), F.struct(k.alias("start"), n.alias("n")))))
+        ahead = F.transform(F.filter(at, lambda k: short(k, 1)), lambda k: let(self.added_up(k, 1), lambda n: spot(k, n)))
         back = F.transform(F.filter(at, lambda k: short(k, -1)), behind)
-        return F.filter(F.concat(ahead, back), lambda w: w.isNotNull())
+        return F.when(self.crowded(), F.filter(F.concat(ahead, back), lambda w: w.isNotNull())).otherwise(F.array().cast("array<bigint>"))
 
     def goes_on(self, k: Column, step: int = 1) -> Column:
         """Whether the text has lines beyond those that are written out."""
         return k + WRITTEN_OUT < F.size(self.c) if step > 0 else k >= WRITTEN_OUT
 
-    def reach(self, k: Column) -> Column:
-        """Two lines, mostly, or REACH, or as many as the window from line k on has; null at the end of the text."""
-        chars = F.get(self.c, k) + F.get(self.c, k + 1)
-        more = chars
-        for m in range(2, REACH):
-            more = more + F.get(self.c, k + m)
-        return F.when(chars >= self.chunk_chars, 2).when(~self.goes_on(k), REACH).when(more >= self.chunk_chars, REACH).otherwise(self.added_up(k, 1))
+    def far(self, k: Column) -> Column:
+        """How many lines the window from line k on has, where WRITTEN_OUT lines have too few characters; else null."""
+        return F.when(self.goes_on(k) & (sum([F.get(self.c, k + m) for m in range(1, WRITTEN_OUT)], F.get(self.c, k)) < self.chunk_chars), self.added_up(k, 1))
 
     def added_up(self, k: Column, step: int) -> Column:
         """The same by adding up; each line has a character at least, so no more than chunk_chars lines are looked at."""
         start = k + 1 if step > 0 else F.greatest(k + 2 - self.chunk_chars, F.lit(1))
         near = F.slice(self.c, start, self.chunk_chars if step > 0 else k + 2 - start)
-        so_far = F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars"))
+        so_far = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("chars"))
         more = lambda s, x: F.when(s["chars"] >= self.chunk_chars, s).otherwise(F.struct((s["n"] + 1).alias("n"), (s["chars"] + x).alias("chars")))
         return F.aggregate(near if step > 0 else F.reverse(near), so_far, more, lambda s: F.when((s["chars"] >= self.chunk_chars) & (s["n"] > 1), s["n"]))
 
@@ -108,42 +110,59 @@ class Page:
 
 
 def on_page(text: Column, body: Callable[[Page], Column], *sizes: int, hashed: bool = True) -> Column:
-    counted = lambda b, h: let(F.transform(b, lambda x: F.greatest(F.length(x), F.lit(1))), lambda c: body(Page(b, h, c, *sizes)))
+    counted = lambda b, h: let(F.transform(b, lambda x: F.greatest(F.length(x), F.lit(1)).cast("double")), lambda c: body(Page(b, h, c, *sizes)))
     return let(F.transform(lines(text), bare), lambda b: let(F.transform(b, lambda x: F.xxhash64(x)), lambda h: counted(b, h)) if hashed else counted(b, None))
 
 
+def spot(start: Column, n: Column) -> Column:
+    """A window as one number; null where n is null."""
+    return F.shiftleft(start.cast("long"), 32).bitwiseOR(n.cast("long"))
+
+
 def span(lo: Column, hi: Column) -> Column:
     """The lines from lo up to hi as one number."""
-    return (F.shiftleft(lo.cast("long"), 32) + hi).alias("span")
+    return spot(lo, hi).alias("span")
 
 
-def seeds(text: Column, mean_lines: int, *sizes: int) -> Column:
-    """array of (hash, span): the rolling hashes that are boundaries, and the lines from the boundary before through the
-    window of the one behind, as span() packs them."""
-    kind = "array<struct<hash:bigint,span:bigint>>"
+def seeds(texts: DataFrame, mean_lines: int, *sizes: int) -> DataFrame:
+    """(the columns of texts but text, hash, span): the rolling hashes that are boundaries, and the lines from the boundary
+    before through the window of the one behind, as span() packs them. Boundaries become rows before their spans are made, so
+    that this is compiled and not run by lambdas."""
 
     def of(page: Page) -> Column:
         at = F.sequence(F.lit(0), F.size(page.h) - 1)
 
         def rolling(k: Column) -> Column:
-            """The hash of the window from line k on; null where the text has too few characters."""
+            """The hash of the window from line k on; null where WRITTEN_OUT lines or all that the text has are too few characters."""
             chars, hashes, out = F.get(page.c, k), [F.get(page.h, k)], F
             for m in range(1, WRITTEN_OUT):
                 chars, hashes = chars + F.get(page.c, k + m), [*hashes, F.get(page.h, k + m)]
                 out = out.when(chars >= page.chunk_chars, F.xxhash64(*hashes))
-            return out.when(page.goes_on(k), let(page.added_up(k, 1), lambda n: F.when(n.isNotNull(), F.xxhash64(F.slice(page.h, k + 1, n)))))
+            return out
+
+        def marked(r: Column, far: Column | None) -> Column:
+            def packed(w: Column) -> Column:
+                n = F.lit(None).cast("array<int>") if far is None else F.transform(w, lambda k: F.get(far, k))
+                return F.struct(page.h.alias("h"), page.c.alias("c"), r.alias("r"), w.alias("w"), n.alias("far"), F.filter(at, page.is_lone).alias("lone"))
 
-        def between(r: Column) -> Column:
-            def near(w: Column) -> Column:
-                end = lambda k: k + page.reach(k)
-                return F.transform(w, lambda k, q: F.struct(F.get(r, k).alias("hash"), span(F.coalesce(F.get(w, q - 1), F.lit(0)), F.coalesce(end(F.get(w, q + 1)), F.size(page.h)))))
+            return let(F.filter(at, lambda k: F.pmod(F.get(r, k), F.lit(mean_lines)) == 0), packed)
 
-            return let(F.filter(at, lambda k: F.pmod(F.get(r, k), F.lit(mean_lines)) == 0), near)
+        def long(r: Column) -> Column:
+            """The same where windows are of more lines."""
+            hashed = lambda far: F.transform(at, lambda k: F.when(F.get(far, k).isNull(), F.get(r, k)).otherwise(F.xxhash64(F.slice(page.h, k + 1, F.get(far, k)))))
+            return let(F.transform(at, page.far), lambda far: let(hashed(far), lambda all_: marked(all_, far)))
 
-        lone = F.transform(F.filter(at, page.is_lone), lambda k: F.struct(F.xxhash64(F.lit(1), F.get(page.h, k)).alias("hash"), span(k, k + 1)))
-        return F.concat(let(F.transform(at, rolling), between), lone)
+        return let(F.transform(at, rolling), lambda r: F.when(page.crowded(), long(r)).otherwise(marked(r, None)))
 
-    return F.when(text == "", F.array().cast(kind)).otherwise(on_page(text, of, *sizes).cast(kind))
+    keep = [c for c in texts.columns if c != "text"]
+    cut = texts.select(*keep, on_page(F.col("text"), of, *sizes).alias("page")).select(*keep, "page.*")
+    rows = cut.select(*keep, "h", "c", "r", "w", "far", F.posexplode(F.concat("w", "lone")).alias("q", "k"))
+    q, k, behind = F.col("q"), F.col("k"), F.col("behind")
+    near = rows.select(*keep, "h", "c", "r", k, (q >= F.size("w")).alias("lone"), F.coalesce(F.get("w", q - 1), F.lit(0)).alias("lo"), F.get("w", q + 1).alias("behind"), F.get("far", q + 1).alias("far"))
+    # Two lines, mostly, or REACH, or as many as the window of the boundary behind has.
+    reach = F.when(F.get("c", behind) + F.get("c", behind + 1) >= sizes[0], 2).otherwise(F.coalesce("far", F.lit(REACH)))
+    between = span(F.col("lo"), F.coalesce(behind + reach, F.size("c")))
+    return near.select(*keep, F.when(F.col("lone"), F.xxhash64(F.lit(1), F.get("h", k))).otherwise(F.get("r", k)).alias("hash"), F.when(F.col("lone"), span(k, k + 1)).otherwise(between).alias("span"))
 
 
 def few(chars: list[Column], chunk_chars: int, back: bool) -> Column:
@@ -165,16 +184,16 @@ def windows(texts: DataFrame, *sizes: int) -> DataFrame:
         return F.struct(page.b.alias("b"), page.c.alias("c"), at.alias("at"), page.many(at).alias("many"))
 
     keep = [c for c in texts.columns if c not in ("text", "spans")]
-    spot = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
     cut = texts.select(*keep, on_page(F.col("text"), of, *sizes, hashed=False).alias("page")).select(*keep, "page.*")
     # Windows of many lines come once a text, with a line before the first.
     lined = cut.select(*keep, "b", "c", "many", F.explode(F.concat(F.array(F.lit(-1)), F.col("at"))).alias("k"))
     # Lines beyond the ends have no characters. Columns of their own keep the compiled code short enough for the JVM's compiler.
     k, around = F.col("k"), {m: f"c{m}" for m in range(1 - WRITTEN_OUT, WRITTEN_OUT)}
-    near = lined.select(*keep, "b", "many", "k", *[F.coalesce(F.get("c", k + m), F.lit(0)).alias(c) for m, c in around.items()])
+    near = lined.select(*keep, "b", "many", "k", *[F.coalesce(F.get("c", k + m), F.lit(0.0)).alias(c) for m, c in around.items()])
     counts = near.select(*keep, "b", "many", "k", few([F.col(around[m]) for m in range(WRITTEN_OUT)], sizes[0], False).alias("ahead"), few([F.col(around[-m]) for m in range(WRITTEN_OUT)], sizes[0], True).alias("back"), is_lone(F.get("b", k), F.col(around[0]), *sizes[1:]).alias("lone"))
     one = F.array(spot(k, F.col("ahead")), spot(k - F.col("back") + 1, F.col("back")), spot(k, F.when(F.col("lone"), 1)))
-    spots = counts.select(*keep, "b", F.inline(F.when(k < 0, F.col("many")).otherwise(one))).filter("n is not null")
+    spots = counts.select(*keep, "b", F.explode(F.when(k < 0, F.col("many")).otherwise(one)).alias("spot")).filter("spot is not null")
+    spots = spots.select(*keep, "b", F.shiftright("spot", 32).cast("int").alias("start"), F.col("spot").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("n"))
     pair = F.col("n") == 2
     first, second = F.get("b", F.col("start")), F.get("b", F.col("start") + 1)
     data = F.when(pair, F.concat(first, F.lit("\n"), second)).otherwise(F.array_join(F.slice("b", F.col("start") + 1, F.col("n")), "\n"))
@@ -209,7 +228,7 @@ def repeated_spans(rows: DataFrame, text: str, mean_lines: int, *sizes: int) ->
     """(ka, kb, first, copied, spans) of the classes of equal texts that have something to take out: the id of the first
     document, whether there are others, and what to take out of the first, an array of (start, n) or null. rows have k1, the
     id, and ka and kb, two hashes of the text."""
-    found = written(rows.select("k1", "ka", "kb", F.inline(seeds(whole(text), mean_lines, *sizes))))
+    found = written(seeds(rows.select("k1", "ka", "kb", whole(text).alias("text")), mean_lines, *sizes))
     classes = written(found.groupBy("ka", "kb").agg(F.min("k1").alias("first"), (F.min("k1") < F.max("k1")).alias("copied")))
     # Written, so that the join with it has plain shuffles on both sides: Spark splits those where a hash is very common.
     # What is repeated in copies of one text alone is left to the class.
@@ -258,7 +277,7 @@ def drop_repeated_chunks(
     rows = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("k1"), F.xxhash64(held).alias("ka"), F.xxhash64(F.lit(1), held).alias("kb"), *[F.col(f"`{c}`").alias(at[c]) for c in names if c != doc_id])
     joined = rows.join(repeated_spans(rows, at[text], mean_lines, chunk_chars, lone_chars, lone_words), ["ka", "kb"], "left")
     old = F.col(at[text])
-    long = (F.length(old) >= least_chars) & ((F.size(lines(whole(old))) > 1) | is_lone(old, F.length(old), lone_chars, lone_words))
+    long = (F.length(old) >= least_chars) & (old.rlike(rf"(?s)(?:{CLOSE}).") | is_lone(old, F.length(old), lone_chars, lone_words))
     new = F.when(F.col("k1") > F.col("first"), F.when(long, F.lit("")).otherwise(old)).when(F.col("spans").isNotNull(), without(old, F.col("spans"), least_chars)).otherwise(old)
     joined = joined.withColumn("new", F.when(F.col("first").isNull(), old).otherwise(new))
     out = {doc_id: F.when(F.col("k1") != NO_ID, F.col("k1")).cast(kinds[doc_id]), text: F.col("new")}

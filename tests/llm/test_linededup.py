@@ -228,3 +228,26 @@ def test_results_do_not_depend_on_the_size_at_which_windows_are_dealt(spark, mon
     for rare in (1, 3, 7, 20):
         monkeypatch.setattr(ld, "SALT_ROWS", rare)
         assert texts_of(ld.drop_repeated_chunks(documents(spark, rows))) == usual, rare
+
+
+def test_lines_equal_a_split_behind_every_close(spark):
+    """Random texts of closes, and long runs without a close, which must not exhaust the stack."""
+    rng = random.Random(32)
+    texts = ["".join(rng.choice("\n.!?;:, ab\x01é😀\r\t") for _ in range(rng.randrange(1, 60))) for _ in range(3000)] + ["1." * 300_000, "." * 300_000, ". " * 50_000, "\n" * 50_000, "a" * 300_000, ""]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ld.lines(F.col("t")).alias("lines")).collect()
+    for r in got:
+        assert r.lines == re.split(r"(?s)(?:(?<=\n)|(?<=[.!?;:,] ))(?=.)", r.t)
+
+
+def test_work_on_usual_texts_is_compiled_and_looks_for_no_long_windows(spark):
+    """What made op9 dear: spans of boundaries made by lambdas, and a search of windows over many lines in every text."""
+    rng = random.Random(33)
+    usual = " ".join(sentences(rng, 20))
+    short = [", ".join(rng.choice(("a", "bcd", "efghij klmno", "pq")) for _ in range(rng.randrange(4, 40))) for _ in range(300)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([usual, *short])], "k1 int, text string")
+    plan = ld.seeds(df, 2, 36, 280, 50)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) Generate", plan)
+    got = df.select("k1", ld.on_page(F.col("text"), lambda p: F.struct(p.c.alias("c"), p.crowded().alias("crowded")), 36, 280, 50, hashed=False).alias("page")).select("k1", "page.*").collect()
+    few = {r.k1: any(sum(r.c[k : k + ld.WRITTEN_OUT]) < 36 for k in range(len(r.c) - ld.WRITTEN_OUT + 1)) for r in got}
+    assert not any(r.crowded for r in got if r.k1 == 0) and all(r.crowded or not few[r.k1] for r in got)
+    assert 50 < sum(few.values()) < 250
