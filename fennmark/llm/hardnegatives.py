@@ -10,8 +10,9 @@ and no farther. What was not scanned then lies beyond the k-th, so the result is
 for products in a window [low, high] only, which also leaves out the annuli wholly nearer than `high`.
 
 Widening is a loop of Spark joins: the annuli that a block of queries wants next meet the chunks of these annuli, and only
-the best k of each pair go on. Pivots and the ranges of annuli (at most `pivots` x `annuli` numbers) are what the driver and tasks hold
-besides; pivots and ranges are learnt from a sample of about `sample` vectors, every vector is stored.
+the best k of each pair go on. No join is broadcast, since neither compressed files nor queries that are yet to be sent to all
+their annuli show how large they get. Pivots and the ranges of annuli (at most `pivots` x `annuli` numbers) are what the driver
+and tasks hold besides; pivots and ranges are learnt from a sample of about `sample` vectors, every vector is stored.
 
 Defined results: rows without id, label or vector, or with a null or non-finite component, take no part; rows alike in id,
 label and vector count once, and a row of the anchor's own id is never its partner; shorter vectors count as filled
@@ -175,6 +176,7 @@ def search(keys: DistanceKeys, asked: DataFrame, k: int, same_label: bool, block
     state = asked.select("anchor_id", "slot", "label", "v", "low", "high", F.pmod(F.xxhash64("anchor_id", "slot"), F.lit(max(1, -(-n // block)))).alias("qb"), F.lit(-1.0).alias("radius"))
     found = spark.createDataFrame([], "anchor_id long, slot int, vec_id long, score long")
     dims, dtype = keys.dims, keys.dtype
+    tasks = min(max(1, -(-n // block)), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,14 +218,15 @@ def search(keys: DistanceKeys, asked: DataFrame, k: int, same_label: bool, block
     while True:
         kth = found.groupBy("anchor_id", "slot").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
         full = F.coalesce(F.col("n") >= k, F.lit(False))
-        held = state.join(kth, ["anchor_id", "slot"], "left").select(*state.columns, F.when(full, F.greatest("low", "kth")).otherwise(F.col("low")).alias("floor"), full.alias("full"))
+        held = state.hint("merge").join(kth.hint("merge"), ["anchor_id", "slot"], "left").select(*state.columns, F.when(full, F.greatest("low", "kth")).otherwise(F.col("low")).alias("floor"), full.alias("full"))
         kinds = ", ".join(f"{c} {t}" for c, t in held.dtypes)
         wide = cut_lineage(held.mapInArrow(widen, f"{kinds}, until double"))
         ahead = wide.filter("until > radius")
         if ahead.isEmpty():
             return found
-        visits = ahead.groupBy("qb").applyInArrow(visit, "annulus long, anchor_id binary, slot binary, label binary, floor binary, high binary, v binary")
-        fresh = visits.join(chunks, "annulus").mapInArrow(scan, "anchor_id long, slot int, vec_id long, score long")
+        # Few bytes of queries become many of visits, so their blocks are dealt over tasks by count, not by size.
+        visits = ahead.repartition(tasks, "qb").groupBy("qb").applyInArrow(visit, "annulus long, anchor_id binary, slot binary, label binary, floor binary, high binary, v binary")
+        fresh = visits.hint("merge").join(chunks.hint("merge"), "annulus").mapInArrow(scan, "anchor_id long, slot int, vec_id long, score long")
         found = cut_lineage(found.unionByName(fresh).withColumn("k", F.row_number().over(best)).filter(F.col("k") <= k).drop("k"))
         # A query without anything ahead is done: nothing that it would find later could count.
         state = ahead.select(*[F.col("until").alias(c) if c == "radius" else F.col(c) for c in state.columns])
@@ -240,10 +243,10 @@ def mine_hard_negatives(rows: DataFrame, anchors: Column, positives: int = 5, ne
     own = search(keys, asked.withColumns({"low": F.lit(-ANY), "high": F.lit(ANY)}), positives, same_label=True)
     order = Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id")
     own = own.withColumn("k", F.row_number().over(order).cast("int")).select("anchor_id", "slot", "k", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
-    pairs = written(own.join(asked, ["anchor_id", "slot"]).withColumn("slot", (F.col("slot") * positives + F.col("k")).cast("int")))
+    pairs = written(own.join(asked.hint("merge"), ["anchor_id", "slot"]).withColumn("slot", (F.col("slot") * positives + F.col("k")).cast("int")))
     part = F.col("positive_score") * least_percent
     low = F.floor((part + F.pmod(-part, F.lit(100))) / 100).cast("bigint")  # the least whole number with 100 low >= part
     wanted = pairs.withColumns({"low": low, "high": F.col("positive_score")}).filter("low <= high")
     found = search(keys, wanted, negatives, same_label=False)
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).join(pairs.select("anchor_id", "slot", "positive_id", "positive_score"), ["anchor_id", "slot"])
+    ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).join(pairs.select("anchor_id", "slot", "positive_id", "positive_score").hint("merge"), ["anchor_id", "slot"])
     return ranked.select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

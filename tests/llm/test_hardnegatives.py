@@ -84,3 +84,14 @@ def test_the_driver_gets_one_sample_whatever_the_number_of_tasks(spark):
         plan = hardnegatives.sampled(dealt, 20_000, 500)._jdf.queryExecution().executedPlan().toString()
         assert "TakeOrdered" not in plan and "Limit" not in plan
     assert hardnegatives.sampled(rows, 20_000, 20_000).count() == 20_000
+
+
+def test_nothing_is_broadcast(spark):
+    """Queries are few bytes until each goes to all its annuli, and chunks are few until they are read: all pass shuffles alone."""
+    rng = np.random.default_rng(16)
+    rows = [(k, [float(x) for x in rng.normal(size=8)], k % 3) for k in range(400)]
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1")
+    try:
+        assert mined(rows_of(spark, rows), F.col("vec_id") % 20 == 0, pivots=8, annuli=8, chunk_rows=20, sample=200) == brute(rows, lambda i: i % 20 == 0)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
