@@ -156,3 +156,58 @@ def test_recall_on_isolated_pairs_by_length(spark):
         gone = 2 * n - simhash.drop_near_duplicates(documents(spark, rows)).count()
         print(low, high, gone / n)
         assert least * n <= gone <= n
+
+
+def shingled(text):
+    w = text.lower().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+
+def test_short_near_copies_are_all_found(spark):
+    """Fingerprints alone miss some of these, as a few words decide all bits of a short text."""
+    rng, rows = random.Random(16), []
+    while len(rows) < 600:
+        a = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(rng.randrange(13, 25))]
+        b = [*a, "end"] if rng.random() < 0.5 else ["start", *a]
+        x, y = " ".join(a), " ".join(b)
+        if 5 * len(shingled(x) & shingled(y)) >= 4 * len(shingled(x) | shingled(y)):
+            rows += [(len(rows), x), (len(rows) + 1, y)]
+    kept = simhash.drop_near_duplicates(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 600, 2))
+
+
+def test_every_text_of_an_id_is_compared(spark):
+    base, group = near_copies(spark, 8)
+    rows = [*base, group[0], *((5000, t) for _, t in group[1:]), *((5000, t) for _, t in base[:3])]
+    kept = {(r.doc_id, r.text) for r in simhash.drop_near_duplicates(documents(spark, rows)).collect()}
+    assert group[0][1] not in {t for _, t in base[:3]}
+    sets = [shingled(t) for _, t in rows]
+    roots = brute_components(len(rows), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    groups = {}
+    for k, r in enumerate(roots):
+        groups.setdefault(r, []).append(k)
+    assert {i for i, _ in kept} == {min(rows[k][0] for k in g) for g in groups.values()} and len(kept) == len(groups)
+
+
+def test_prefixes_miss_no_pair(spark):
+    """Sets that share much below and above the similarity, some a common passage, in groups of their own and of others."""
+    rng = random.Random(17)
+    passage = [f"common{k}" for k in range(40)]
+    rows = [(-1, "")]
+    for k in range(160):
+        if rng.random() < 0.4 and k:
+            w = list(rng.choice(rows[1:20])[1].split())
+            for _ in range(rng.randrange(1, 4)):
+                w[rng.choice((0, 1, len(w) - 1, rng.randrange(len(w)))) % len(w)] = f"new{rng.randrange(9)}"
+        else:
+            w = [f"w{k}x{j}" for j in range(rng.randrange(1, 60))] + passage * (rng.random() < 0.3)
+        rows.append((k, " ".join(w)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "sha2(text, 256) digest")
+    sets = [shingled(t) for _, t in rows]
+    for similarity in (0.8, 0.5):
+        near = {(a, b) for b in range(1, len(rows)) for a in range(1, b) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])}
+        assert len(near) > 60
+        for most_rows, sample, of in ((None, 4096, 1), (10, 4096, 1), (10, 1, 1), (None, 1, 7)):
+            with_roots = simhash.prefixes(texts, 5, similarity, sample=sample).selectExpr("doc_id vertex", f"if({of} = 1, doc_id, doc_id % {of}) root", "n", "cold", "tokens")
+            got = {(r.u + 1, r.v + 1) for r in simhash.pairs_by_prefix(with_roots, similarity, most_rows).collect()}
+            assert {(a, b) for a, b in near if of == 1 or (a - b) % of} <= got and all(of == 1 or (a - b) % of for a, b in got)
